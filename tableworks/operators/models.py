@@ -8,8 +8,10 @@ points, a handful of rows each, are made into tables from the driver.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from multiprocessing.pool import ThreadPool
 from typing import NamedTuple
 
+from pyspark import inheritable_thread_target
 from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
@@ -51,17 +53,22 @@ def fit_recommender(
 
 def cross_validate_recommender(
     ratings: DataFrame, key: Key, k: int = 5, ranks: Sequence[int] = (10, 5), iters: int = 10,
-    seed: int = 111, **cols: str,
+    seed: int = 111, parallelism: int = 4, **cols: str,
 ) -> DataFrame:
     """``rank, fold, rmse, mae``: every rank on every fold."""
     rating = cols.get("rating", "rating")
     folded = kfold(ratings, key, k, seed).persist()
-    rows = []
-    for fold, train, test in fold_pairs(folded, k):
-        for rank in ranks:
-            model = fit_recommender(train, rank, iters, **cols)
-            scored = mt.regression_metrics(model.transform(test), rating).first()
-            rows.append((rank, fold, scored.rmse, scored.mae))
+
+    def judge(task) -> tuple:
+        rank, (fold, train, test) = task
+        model = fit_recommender(train, rank, iters, **cols)
+        scored = mt.regression_metrics(model.transform(test), rating).first()
+        return rank, fold, scored.rmse, scored.mae
+
+    tasks = [(rank, pair) for pair in fold_pairs(folded, k) for rank in ranks]
+    # The fits are separate jobs: several at a time keep the cluster busy.
+    with ThreadPool(parallelism) as pool:
+        rows = pool.map(inheritable_thread_target(ratings.sparkSession)(judge), tasks)
     folded.unpersist()
     return ratings.sparkSession.createDataFrame(rows, "rank int, fold int, rmse double, mae double")
 

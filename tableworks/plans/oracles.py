@@ -358,7 +358,7 @@ SELECT a.cluster, s.tag_id, sum(s.relevance) AS relevance
 FROM assign a {join} JOIN scores s ON a.item = s.item
 WHERE a.cluster IN (SELECT cluster FROM top) GROUP BY a.cluster, s.tag_id"""),
         ("ranked", """
-SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY relevance DESC NULLS LAST, tag_id NULLS LAST) AS r
+SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY round(relevance, 9) DESC NULLS LAST, tag_id NULLS LAST) AS r
 FROM sums"""),
     ) + f"""
 SELECT cluster, cast(r AS integer) AS rank, tag_id, s_name AS tag, round(relevance, 4) AS relevance
@@ -496,13 +496,13 @@ SELECT g1, g2, n FROM bcounts UNION ALL
 SELECT DISTINCT q.g1, q.g2, 0 FROM qgrams q ANTI JOIN bcounts b ON q.g1 = b.g1 AND q.g2 = b.g2"""),
     ("aprobs", "SELECT g1, g2, n, (n + 1) / (SELECT sum(n + 1) FROM extended) AS p FROM extended"),
 ]
-ORACLES["lm_unigram"] = _with(SENTENCES, _UNIGRAMS) + "SELECT gram, n, round(p, 9) AS p FROM uprobs"
+ORACLES["lm_unigram"] = _with(SENTENCES, _UNIGRAMS) + "SELECT gram, n, p FROM uprobs"
 ORACLES["lm_bigram"] = _with(SENTENCES, BIGRAMS, BIGRAM_COUNTS, _BPROBS) + f"""
-SELECT {_joined(2)} AS gram, n, round(p, 9) AS p FROM bprobs"""
+SELECT {_joined(2)} AS gram, n, p FROM bprobs"""
 ORACLES["lm_bigram_conditional"] = _with(SENTENCES, BIGRAMS, BIGRAM_COUNTS) + f"""
-SELECT {_joined(2)} AS gram, n, round(n / sum(n) OVER (PARTITION BY g1), 6) AS p FROM bcounts"""
+SELECT {_joined(2)} AS gram, n, n / sum(n) OVER (PARTITION BY g1) AS p FROM bcounts"""
 ORACLES["lm_bigram_add1"] = _with(SENTENCES, BIGRAMS, BIGRAM_COUNTS, QUESTIONS, _ADD1) + f"""
-SELECT {_joined(2)} AS gram, n, round(p, 9) AS p FROM aprobs"""
+SELECT {_joined(2)} AS gram, n, p FROM aprobs"""
 ORACLES["lm_mass"] = _with(SENTENCES, _UNIGRAMS, BIGRAMS, BIGRAM_COUNTS, _BPROBS) + """
 SELECT 1 AS n, round(sum(p), 6) AS mass FROM uprobs UNION ALL SELECT 2, round(sum(p), 6) FROM bprobs"""
 
@@ -516,7 +516,7 @@ FROM qgrams q JOIN asked a ON q.q_id = a.q_id AND q.cand_no = a.cand_no
 
 ORACLES["context_pairs"] = _with(CONTEXTS[:-1]) + "SELECT w1, w2, next, n FROM ctx_counts"
 ORACLES["next_word"] = _with(CONTEXTS) + """
-SELECT w1, w2, next, n, round(p, 6) AS p, is_best FROM ctx_model"""
+SELECT w1, w2, next, n, p, is_best FROM ctx_model"""
 ORACLES["sentence_logprob"] = _with(CONTEXTS) + """
 SELECT sent_id, round(sum(ln(p)), 4) AS logprob
 FROM ctx JOIN ctx_model ON g1 = w1 AND g2 = w2 AND g3 = next GROUP BY sent_id"""

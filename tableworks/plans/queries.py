@@ -280,21 +280,21 @@ def vocabulary(spark, sf):
 @query
 def lm_unigram(spark, sf):
     return lm.ngram_probs(v.sentences(spark, sf), 1).select(
-        _text("gram"), "n", F.round("p", 9).alias("p")
+        _text("gram"), "n", "p"
     )
 
 
 @query
 def lm_bigram(spark, sf):
     return lm.ngram_probs(v.sentences(spark, sf), 2).select(
-        _text("gram"), "n", F.round("p", 9).alias("p")
+        _text("gram"), "n", "p"
     )
 
 
 @query
 def lm_bigram_conditional(spark, sf):
     return lm.ngram_probs(v.sentences(spark, sf), 2, kind="conditional").select(
-        _text("gram"), "n", F.round("p", 6).alias("p")
+        _text("gram"), "n", "p"
     )
 
 
@@ -305,7 +305,7 @@ def _add_one(spark, sf):
 
 @query
 def lm_bigram_add1(spark, sf):
-    return _add_one(spark, sf).select(_text("gram"), "n", F.round("p", 9).alias("p"))
+    return _add_one(spark, sf).select(_text("gram"), "n", "p")
 
 
 @query
@@ -345,7 +345,7 @@ def context_pairs(spark, sf):
 
 @query
 def next_word(spark, sf):
-    return _round(lm.next_word(lm.context_pairs(v.sentences(spark, sf))))
+    return lm.next_word(lm.context_pairs(v.sentences(spark, sf)))
 
 
 @query
@@ -507,7 +507,7 @@ def als_clusters(spark, sf):
 
 
 def _train_test(spark, sf):
-    return sp.random_split(v.numeric(spark, sf), [0.8, 0.2], 44, "row_key")
+    return sp.random_split(v.numeric(spark, sf).drop("prediction"), [0.8, 0.2], 44, "row_key")
 
 
 def _classifier(spark, sf, fit, **settings):
@@ -543,7 +543,8 @@ def grid_search(spark, sf):
         v.NUMERIC_FEATURES, depths=(2, 4), tree_bins=(16,), threshold_bins=(16,), regs=(0.01, 0.05),
         iters=(5,), nets=(0.0,),
     )
-    return mo.grid_search(v.numeric(spark, sf), families, "row_key", folds=3).table
+    rows = v.numeric(spark, sf).drop("prediction")
+    return mo.grid_search(rows, families, "row_key", folds=3).table
 
 
 def _reduced_claims(spark, sf):
