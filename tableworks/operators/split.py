@@ -156,11 +156,12 @@ def head_split(df: DataFrame, label: str, order: str, n: int, m: int) -> DataFra
 
 
 def shuffle_order(df: DataFrame, key: Key, seed: int) -> DataFrame:
-    """Rows in seeded random order, with their ``position`` from 0.
+    """Each row's ``position`` from 0 in a seeded random order.
 
-    The labels travel with the rows. The key must be unique.
+    The labels travel with the rows. The key must be unique. Rows are not moved
+    again to lie in that order; sort by ``position`` where that is wanted.
     """
     keyed = df.withColumn("_mix", h.shuffle_key(key, seed))
     names = [key] if isinstance(key, str) else list(key)
     order = [F.col("_mix"), *map(F.col, names)]
-    return row_index(keyed, order, "position").orderBy("position").drop("_mix")
+    return row_index(keyed, order, "position").drop("_mix")
