@@ -73,20 +73,22 @@ def marked(tokens: Column | str, before: int = 1, after: int = 1,
     )
 
 
-def ngrams(tokens: Column | str, n: int) -> Column:
-    """Each run of ``n`` neighbouring items; none when the list is shorter.
+def ngrams(tokens: Column | str, n: int, width: int | None = None) -> Column:
+    """Each run of ``n`` neighbouring items as a struct ``g1 … gn``; none when the
+    list is shorter.
 
-    Pass a plain column, not a long expression: it is read once per item.
+    Shifted copies of the list are zipped, which is compiled code, where a lambda
+    per item would be interpreted. ``width`` pads with NULL members, so that runs
+    of several lengths can share one list; ``size`` then tells them apart.
     """
     items = _column(tokens)
-    if n == 1:
-        return F.transform(items, lambda t: F.array(t))
-    return F.when(
-        F.size(items) >= n,
-        F.transform(
-            F.sequence(F.lit(1), F.size(items) - (n - 1)), lambda i: F.slice(items, i, n)
-        ),
-    ).otherwise(F.array().cast("array<array<string>>"))
+    count = F.greatest(F.size(items) - (n - 1), F.lit(0))
+    members = [F.slice(items, i + 1, count).alias(f"g{i + 1}") for i in range(n)]
+    if width:
+        empty = F.lit(None).cast("string")
+        members += [F.array_repeat(empty, count).alias(f"g{i + 1}") for i in range(n, width)]
+        members.append(F.array_repeat(F.lit(n), count).alias("size"))
+    return F.arrays_zip(*members)
 
 
 def fill_blank(tokens: Column | str, word: Column | str, blank: str = BLANK) -> Column:

@@ -22,11 +22,24 @@ def count_features(df: DataFrame, features: str | Column, name: str = "feature")
     )
 
 
-def _features(tokens: str, orders: Sequence[int], stop: Sequence[str]) -> Column:
+def gram_rows(df: DataFrame, items: str, n: int, keep: Sequence[str] = ()) -> DataFrame:
+    """One row per n-gram of a list column: ``keep…, gram``."""
+    rows = df.select(*keep, F.inline(tx.ngrams(items, n)))
+    return rows.select(*keep, F.array(*[f"g{i + 1}" for i in range(n)]).alias("gram"))
+
+
+def _feature_rows(
+    df: DataFrame, tokens: str, orders: Sequence[int], stop: Sequence[str], keep: Sequence[str] = ()
+) -> DataFrame:
+    """One row per feature of any of the orders: ``keep…, feature``."""
+    width = max(orders)
     lists = [
-        tx.ngrams(tx.without_words(tokens, stop) if n == 1 else F.col(tokens), n) for n in orders
+        tx.ngrams(tx.without_words(tokens, stop) if n == 1 else F.col(tokens), n, width)
+        for n in orders
     ]
-    return lists[0] if len(lists) == 1 else F.concat(*lists)
+    rows = df.select(*keep, F.inline(F.concat(*lists)))
+    members = F.array(*[f"g{i + 1}" for i in range(width)])
+    return rows.select(*keep, F.slice(members, 1, F.col("size")).alias("feature"))
 
 
 def bag_of_words(
@@ -44,7 +57,7 @@ def bag_of_words(
     the much larger list of features never moves; the result stays placed by id.
     """
     tokens = df.repartition(doc_id).select(doc_id, tx.word_runs(text).alias("tokens"))
-    features = tokens.select(doc_id, F.explode(_features("tokens", orders, stop)).alias("feature"))
+    features = _feature_rows(tokens, "tokens", orders, stop, [doc_id])
     bag = features.groupBy(doc_id, "feature").agg(F.count("*").alias("n"))
     order = F.size("feature")
     n = F.col("n")
@@ -65,11 +78,12 @@ def ngram_vocabulary(
 ) -> DataFrame:
     """Distinct features of several orders: ``n_order, feature``."""
     tokens = df.select(tx.word_runs(text).alias("tokens"))
-    features = tokens.select(F.explode(_features("tokens", orders, ())).alias("feature"))
+    features = _feature_rows(tokens, "tokens", orders, ())
     return features.distinct().select(F.size("feature").alias("n_order"), "feature")
 
 
 def ngram_counts(df: DataFrame, tokens: str, n: int, marks: bool = True) -> DataFrame:
     """Count the n-grams of a token column, by default with sentence marks."""
     items = tx.marked(tokens) if marks else F.col(tokens)
-    return count_features(df.select(items.alias("items")), tx.ngrams("items", n), "gram")
+    rows = gram_rows(df.select(items.alias("items")), "items", n)
+    return rows.groupBy("gram").agg(F.count("*").alias("n"))

@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tableworks.functions import text as tx
 from tableworks.operators.corpus import document_lines
 from tableworks.operators.split import hash_split
+from tableworks.session import spread
 from tableworks.sources.readers import LOG_SCHEMA
 
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents"]
@@ -20,6 +21,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+def busy(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    """A table that is parsed, hashed or trained on, not just counted."""
+    return spread(table(spark, sf, name))
+
+
 def _cents(col: str):
     return F.round(F.col(col) * 100).cast("bigint")
 
@@ -46,7 +52,7 @@ def log_lines(spark: SparkSession, sf: str) -> DataFrame:
         F.concat(F.lit('"GET '), path, F.lit(' HTTP/1.0"')),
         F.when(event == "error", "404").otherwise("200"), size,
     )
-    return table(spark, sf, "events").select(line.alias("value"))
+    return busy(spark, sf, "events").select(line.alias("value"))
 
 
 def raw_log(spark: SparkSession, sf: str) -> DataFrame:
@@ -57,7 +63,7 @@ def raw_log(spark: SparkSession, sf: str) -> DataFrame:
 
 def numeric(spark: SparkSession, sf: str) -> DataFrame:
     """Line items with a 0/1 label and a rule's score and prediction."""
-    return table(spark, sf, "lineitem").select(
+    return busy(spark, sf, "lineitem").select(
         row_key().alias("row_key"),
         (F.col("l_returnflag") == "R").cast("double").alias("label"),
         F.col("l_quantity").alias("quantity"),
@@ -113,7 +119,7 @@ CLAIM_MEASURES = ["quantity", "price", "retail", "part_size"]
 
 def claims(spark: SparkSession, sf: str) -> DataFrame:
     """Insurance-like rows; one part type is turned to NULL."""
-    lines = table(spark, sf, "lineitem").select(
+    lines = busy(spark, sf, "lineitem").select(
         row_key().alias("row_key"), "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
         "l_discount", "l_returnflag", "l_linestatus",
     )
@@ -143,7 +149,7 @@ CLAIM_CUT = 2000
 
 
 def documents(spark: SparkSession, sf: str) -> DataFrame:
-    return table(spark, sf, "documents").select("doc_id", "text")
+    return busy(spark, sf, "documents").select("doc_id", "text")
 
 
 def labelled_documents(spark: SparkSession, sf: str) -> DataFrame:

@@ -45,6 +45,17 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Use all slots for heavy work on an input of too few splits.
+
+    A small table, a single row group or a gzip file is one task however many
+    slots there are. Inputs with at least as many splits as slots, so anything
+    large, are left where they are and nothing is shuffled.
+    """
+    slots = df.sparkSession.sparkContext.defaultParallelism
+    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 

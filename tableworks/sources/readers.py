@@ -1,7 +1,7 @@
 """File readers with explicit schemas: no inference pass over the data.
 
 A gzip file is one partition whatever its size, so the readers that meet them
-take ``partitions``; without it the split of the files is kept.
+take ``partitions``; without it an input of fewer splits than slots is spread.
 """
 
 from __future__ import annotations
@@ -11,6 +11,7 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tableworks.functions import text as tx
+from tableworks.session import spread
 
 LOG_FIELDS = ["host", "ident", "user", "stamp", "offset", "request", "status", "bytes"]
 LOG_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in LOG_FIELDS])
@@ -37,7 +38,7 @@ PARTICLE_FEATURES = [f"low_{i}" for i in range(1, 22)] + [f"high_{i}" for i in r
 
 
 def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
-    return df.repartition(partitions) if partitions else df
+    return df.repartition(partitions) if partitions else spread(df)
 
 
 def read_access_log(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
