@@ -26,6 +26,7 @@ from tableworks.operators import (
     weblog as wl,
 )
 from tableworks.plans import views as v
+from tableworks.session import written
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -548,7 +549,8 @@ def grid_search(spark, sf):
 
 
 def _reduced_claims(spark, sf):
-    return fe.reduce_pca(_claims_vectors(spark, sf), 5)[0]
+    """Read by every version of the data, so it is worked out once and written."""
+    return written(fe.reduce_pca(_claims_vectors(spark, sf), 5)[0], "claims")
 
 
 @query
