@@ -12,7 +12,7 @@ from collections.abc import Iterator, Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tableworks.functions import hashing as h
-from tableworks.operators.ordering import row_index
+from tableworks.operators.ordering import rank_within, row_index
 
 Key = str | Sequence[str]
 # Row numbers up to this limit are cut down before the shuffle by the planner.
@@ -142,15 +142,10 @@ def head_split(df: DataFrame, label: str, order: str, n: int, m: int) -> DataFra
         place = F.row_number().over(Window.partitionBy(label).orderBy(order))
         ranked = df.withColumn("_place", place).where(F.col("_place") <= n + m)
     else:
-        # Long heads: number the whole table in slices, then count from the
-        # first row of each class (as many rows as there are classes).
-        numbered = row_index(df, [F.col(label), F.col(order)], "_ix")
-        first = numbered.groupBy(label).agg(F.min("_ix").alias("_first"))
-        ranked = (
-            numbered.join(first, label)
-            .withColumn("_place", F.col("_ix") - F.col("_first") + 1)
-            .where(F.col("_place") <= n + m).drop("_ix", "_first")
-        )
+        # Long heads: a class may be most of the table, so it is numbered in slices.
+        ranked = rank_within(df, [label], [F.col(order)], "_place").withColumn(
+            "_place", F.col("_place") + 1
+        ).where(F.col("_place") <= n + m)
     part = F.when(F.col("_place") <= n, "train").otherwise("test")
     return ranked.withColumn("part", part).drop("_place")
 

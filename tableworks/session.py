@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -58,6 +60,20 @@ def spread(df: DataFrame) -> DataFrame:
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
 
 
+@contextmanager
+def held(*tables: DataFrame) -> Iterator[None]:
+    """Keep tables that are read several times; those the caller already keeps
+    stay as they are afterwards."""
+    new = [t for t in tables if not (t.storageLevel.useMemory or t.storageLevel.useDisk)]
+    for t in new:
+        t.persist()
+    try:
+        yield
+    finally:
+        for t in new:
+            t.unpersist()
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` to the shared folder and read it back.
 
