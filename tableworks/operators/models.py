@@ -36,6 +36,7 @@ from tableworks.operators import metrics as mt
 from tableworks.operators.features import assemble
 from tableworks.operators.split import Key, balance_over, balance_under, fold_pairs, kfold, \
     random_split, temporal_split
+from tableworks.session import held
 
 
 # Recommender ---------------------------------------------------------------
@@ -57,7 +58,7 @@ def cross_validate_recommender(
 ) -> DataFrame:
     """``rank, fold, rmse, mae``: every rank on every fold."""
     rating = cols.get("rating", "rating")
-    folded = kfold(ratings, key, k, seed).persist()
+    folded = kfold(ratings, key, k, seed)
 
     def judge(task) -> tuple:
         rank, (fold, train, test) = task
@@ -67,9 +68,8 @@ def cross_validate_recommender(
 
     tasks = [(rank, pair) for pair in fold_pairs(folded, k) for rank in ranks]
     # The fits are separate jobs: several at a time keep the cluster busy.
-    with ThreadPool(parallelism) as pool:
+    with held(folded), ThreadPool(parallelism) as pool:
         rows = pool.map(inheritable_thread_target(ratings.sparkSession)(judge), tasks)
-    folded.unpersist()
     return ratings.sparkSession.createDataFrame(rows, "rank int, fold int, rmse double, mae double")
 
 
@@ -116,10 +116,10 @@ def classifier_report(model: PipelineModel, test: DataFrame, label: str = "label
     """
     y, p = F.col(label), F.col("prediction")
     right = lambda c: F.try_divide(F.count_if((y == c) & (p == c)), F.count_if(y == c))
-    judged = model.transform(test).select(label, "prediction").persist()
-    row = mt.binary_metrics(judged, label).first()
-    area = judged.agg(((right(1.0) + right(0.0)) / 2).alias("auc")).first().auc
-    judged.unpersist()
+    judged = model.transform(test).select(label, "prediction")
+    with held(judged):
+        row = mt.binary_metrics(judged, label).first()
+        area = judged.agg(((right(1.0) + right(0.0)) / 2).alias("auc")).first().auc
     return test.sparkSession.createDataFrame(
         [(*row, area)], "accuracy double, precision double, recall double, f1 double, auc double"
     )
@@ -174,14 +174,14 @@ def grid_search(
         for setting in settings:
             points.append({pipeline.stages: stages, **setting})
             names.append((family, {p.name: str(v) for p, v in setting.items()}))
-    folded = kfold(df, key, folds, seed).persist()
+    folded = kfold(df, key, folds, seed)
     validator = CrossValidator(
         estimator=pipeline, estimatorParamMaps=points, numFolds=folds, foldCol="fold",
         evaluator=MulticlassClassificationEvaluator(labelCol=label, metricName="accuracy"),
         parallelism=parallelism,
     )
-    fitted = validator.fit(folded)
-    folded.unpersist()
+    with held(folded):
+        fitted = validator.fit(folded)
     rows = [(f, i, p, float(m)) for i, ((f, p), m) in enumerate(zip(names, fitted.avgMetrics))]
     table = df.sparkSession.createDataFrame(
         rows, "family string, point int, params map<string,string>, metric double"
@@ -246,11 +246,10 @@ def compare_samplings(versions: Mapping[str, tuple[DataFrame, DataFrame]],
     """``data, train_rows, test_rows, rmse, r2`` of a linear regression on each."""
     rows = []
     for name, (train, test) in versions.items():
-        train = train.persist()
-        judged = fit_linear(train, features, label, reg).transform(test)
-        m = mt.regression_metrics(judged, label).first()
-        rows.append((name, train.count(), test.count(), m.rmse, m.r2))
-        train.unpersist()
+        with held(train):
+            judged = fit_linear(train, features, label, reg).transform(test)
+            m = mt.regression_metrics(judged, label).first()
+            rows.append((name, train.count(), test.count(), m.rmse, m.r2))
     return _session().createDataFrame(
         rows, "data string, train_rows bigint, test_rows bigint, rmse double, r2 double"
     )
@@ -275,13 +274,14 @@ def fit_two_part(judged: DataFrame, features: str = "pcaFeatures", label: str =
     Returns the model and its R² on those rows. The inverse link can run away on
     some data; ``log`` does not.
     """
-    both = judged.where((F.col("prediction") > 0) & (F.col(label) > 0)).select(features, label).persist()
-    model = GeneralizedLinearRegression(
+    both = judged.where((F.col("prediction") > 0) & (F.col(label) > 0)).select(features, label)
+    glm = GeneralizedLinearRegression(
         labelCol=label, featuresCol=features, predictionCol="gamma_prediction", family="gamma",
         link=link, maxIter=iters,
-    ).fit(both)
-    r2 = mt.regression_metrics(model.transform(both), label, "gamma_prediction").first().r2
-    both.unpersist()
+    )
+    with held(both):
+        model = glm.fit(both)
+        r2 = mt.regression_metrics(model.transform(both), label, "gamma_prediction").first().r2
     return model, r2
 
 

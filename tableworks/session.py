@@ -54,7 +54,8 @@ def spread(df: DataFrame) -> DataFrame:
 
     A small table, a single row group or a gzip file is one task however many
     slots there are. Inputs with at least as many splits as slots, so anything
-    large, are left where they are and nothing is shuffled.
+    large, are left where they are and nothing is shuffled. Meant for scans, whose
+    splits are known without running anything.
     """
     slots = df.sparkSession.sparkContext.defaultParallelism
     return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
