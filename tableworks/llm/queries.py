@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tableworks.llm import mixing, packing, quality, sharding
+from tableworks.llm import mixing, packing, quality, sharding, simhash, suffix, tokens
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -26,6 +26,30 @@ def op2_length_buckets(spark, sf):
     return packing.pack(docs).withColumnRenamed("key", "doc_id")
 
 
+@query
+def op3_token_counts(spark, sf):
+    import public_tokenizers
+
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    counted = tokens.token_counts(docs, public_tokenizers.path("byte_bpe_50k.json"))
+    return counted.select(F.col("key").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
+
+
+@query
+def op5_suffix_repeats(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    names = ["n_bytes", "n_removed", "n_spans", "kept_sha256"]
+    return suffix.remove_repeats(docs, keep_text=False).select("doc_id", *[F.col(f"r_{n}").alias(n) for n in names])
+
+
+@query
+def op6_simhash(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return simhash.near_duplicates(docs).select(
+        F.col("key").alias("doc_id"), F.lpad(F.lower(F.hex("fp")), 16, "0").alias("fingerprint"), "component_id"
+    )
+
+
 @query
 def op7_mix(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text", "source")
