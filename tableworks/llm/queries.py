@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tableworks.llm import mixing, packing, quality, sharding, simhash, suffix, tokens
+from tableworks.llm import mixing, packing, pivots, quality, sharding, simhash, suffix, tokens, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -20,6 +20,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf}/{name}.parquet")
 
 
+@query
+def op1_warc_archives(spark, sf):
+    root = warc.write_archives(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return warc.read_archives(spark, root).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 @query
 def op2_length_buckets(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
@@ -65,6 +71,12 @@ def op8_virtual_slots(spark, sf):
     )
 
 
+@query
+def op9_permutation_index(spark, sf):
+    rows = table(spark, sf, "embeddings").select("vec_id", "embedding")
+    return pivots.nearest(rows, rows.filter("vec_id % 50 = 0"))
+
+
 @query
 def op10_quality(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
