@@ -171,18 +171,18 @@ def mixed_documents(documents: DataFrame, text: str = "text", source: str = "sou
     document, its text cut to the words that the round takes (with the white space
     that follows them).  Documents without words give no row."""
     columns = documents.columns
+    # Rows are known by their key and a hash of all columns; equal rows are dealt by number.
     row = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
-    marked = documents.withColumn("_row", row)
-    # Rows are known by a hash of all their columns; equal rows are dealt by number.
-    named = marked.withColumn("_key", F.concat_ws(":", F.col(key).cast("string"), F.col("_row").cast("string")))
-    _, taken = mixed(named.drop(key).withColumnRenamed("_key", key) if key != "_key" else named, text, source, key)
-    rounds = taken.groupBy("key", "source", "start", "round").agg(
+    named = documents.withColumn("_key", F.concat_ws(":", F.col(key).cast("string"), row.cast("string")))
+    _, taken = mixed(named, text, source, "_key")
+    rounds = taken.groupBy("key", "start", "round").agg(
         F.array_sort(F.collect_list(F.struct("from_word", "n"))).alias("parts")
     )
-    plans = rounds.groupBy("key", "source", "start").agg(F.array_sort(F.collect_list(F.struct("round", "parts"))).alias("rounds"))
-    plans = plans.groupBy("key").agg(F.array_sort(F.collect_list(F.struct("start", "rounds"))).alias("_plans"))
-    joined = named.join(plans, F.col("_key") == F.col("key")).drop("key") if key != "key" else named.join(
-        plans.withColumnRenamed("key", "_k"), F.col("_key") == F.col("_k"))
+    copies = rounds.groupBy("key", "start").agg(F.array_sort(F.collect_list(F.struct("round", "parts"))).alias("rounds"))
+    plans = copies.groupBy(F.col("key").alias("_plan_key")).agg(
+        F.array_sort(F.collect_list(F.struct("start", "rounds"))).alias("_plans")
+    )
+    joined = named.join(plans, F.col("_key") == F.col("_plan_key"))
     equal = Window.partitionBy("_key").orderBy("_key")
     one = joined.withColumn("_at", F.row_number().over(equal)).withColumn("_plan", F.try_element_at("_plans", F.col("_at")))
     tokens = F.regexp_extract_all(F.col(text), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tableworks.llm import mixing, packing, pivots, quality, sharding, simhash, suffix, tokens, warc
+from tableworks.llm import extract, mixing, packing, pivots, quality, sharding, simhash, suffix, tokens, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -41,6 +41,12 @@ def op3_token_counts(spark, sf):
     return counted.select(F.col("key").alias("doc_id"), "n_bytes", "n_tokens", (F.col("n_tokens") > 512).alias("over_limit"))
 
 
+@query
+def op4_path_ratios(spark, sf):
+    pages = extract.extract(table(spark, sf, "pages").select("page_id", "url", "html"))
+    return pages.select("page_id", "url", F.col("main_text").alias("text"), F.length("main_text").cast("long").alias("n_chars"))
+
+
 @query
 def op5_suffix_repeats(spark, sf):
     docs = table(spark, sf, "documents").select("doc_id", "text")
