@@ -1,3 +1,107 @@
 """DuckDB SQL for the training-data queries that SQL can express."""
 
 ORACLES: dict[str, str] = {}
+
+_WORD = r"[^\x20\x09-\x0D]+"
+_BLANK = r"[\x20\x09-\x0D]+"
+
+ORACLES["op1_warc_archives"] = """
+WITH p AS (
+  SELECT page_id, octet_length(encode(coalesce(html, ''))) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages
+), h AS (SELECT *, min(page_id) OVER (PARTITION BY hex) AS head FROM p)
+SELECT page_id, payload_bytes,
+  array_to_string(list_transform(range(32), lambda j: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+    1 + CAST((CAST('0x' || substr(hex, 5 * (j // 4) + 1, 5) AS BIGINT) >> CAST(15 - 5 * (j % 4) AS BIGINT)) & 31 AS BIGINT), 1)), '') AS payload_digest,
+  CASE WHEN page_id = head THEN 'response' ELSE 'revisit' END AS record_type,
+  CASE WHEN page_id <> head THEN head END AS refers_to
+FROM h
+"""
+
+def _permuted(value: str, size: str, key: str, rounds: int = 8) -> str:
+    """A swap-or-not permutation as nested subqueries is too long; a list fold says the same."""
+    prime = 2147483647
+    powers = [pow(48271, 101 + i, prime) for i in range(3 * rounds)]
+    a, b, c = (str(powers[i::3]) for i in range(3))
+    mirror = f"((({key} % {prime}) + 1) * ({a})[r] - x) % {size}"
+    y = f"(({mirror}) + {size}) % {size}"
+    mixed = f"((greatest(x, {y}) % {prime}) * ({b})[r] + ({key} % {prime}) * ({c})[r]) % {prime}"
+    bit = f"((({mixed}) * ({mixed}) + ({c})[r]) % {prime}) // 1024 % 2"
+    return (
+        f"list_reduce(range(1, {rounds + 1}), lambda x, r: CASE WHEN {bit} = 1 THEN {y} ELSE x END, CAST({value} AS BIGINT))"
+    )
+
+
+ORACLES["op7_mix"] = f"""
+WITH d AS (
+  SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '{_WORD}')) AS size,
+    CAST('0x' || substr(md5('23:' || CAST(doc_id AS VARCHAR)), 1, 8) AS BIGINT) % 1024 AS slice
+  FROM documents
+),
+t AS (SELECT source, CAST(sum(size) AS BIGINT) AS source_size, row_number() OVER (ORDER BY source NULLS LAST) - 1 AS number FROM d GROUP BY source),
+u AS (SELECT *, ([3.0::DOUBLE, 1.0, 2.0])[number % 3 + 1] AS weight, CAST(2 * source_size AS DOUBLE) AS cap, sum(source_size) OVER () * 1.5::DOUBLE AS wanted FROM t),
+v AS (
+  SELECT *, (wanted - coalesce(sum(cap) OVER before, 0)) / (sum(weight) OVER () - coalesce(sum(weight) OVER before, 0)) AS level
+  FROM u WINDOW before AS (ORDER BY cap / weight, number ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)
+),
+x AS (
+  SELECT source, source_size, number, round(least(cap, max(level) OVER () * weight), 6) AS target,
+    (source_size + 63) // 64 AS blocks FROM v
+),
+y AS (SELECT *, least(CAST(round(target * blocks / greatest(source_size, 1)) AS BIGINT), 2 * blocks) AS slots FROM x),
+k AS (SELECT number, blocks, unnest(range(slots)) AS k FROM y),
+uses AS (SELECT number, {_permuted('k % blocks', 'blocks', '(number * 8 + k // blocks + 100)')} AS block FROM k),
+used AS (SELECT number, block, count(*) AS n FROM uses GROUP BY ALL),
+o AS (
+  SELECT d.*, y.number, y.source_size, y.target,
+    coalesce(sum(d.size) OVER (PARTITION BY y.number ORDER BY slice, doc_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS start
+  FROM d JOIN y ON d.source IS NOT DISTINCT FROM y.source
+),
+q AS (SELECT doc_id, size, number, start, unnest(range(CAST(start // 64 AS BIGINT), CAST((start + size - 1) // 64 + 1 AS BIGINT))) AS block FROM o WHERE size > 0),
+s AS (
+  SELECT doc_id, CAST(sum(n * (least(start + size, (q.block + 1) * 64) - greatest(start, q.block * 64))) AS BIGINT) AS taken
+  FROM q JOIN used ON q.number = used.number AND q.block = used.block GROUP BY doc_id
+)
+SELECT o.doc_id, size, source_size, target, coalesce(taken, 0) AS taken FROM o LEFT JOIN s ON o.doc_id = s.doc_id
+"""
+
+ORACLES["op10_quality"] = f"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS text, regexp_extract_all(coalesce(text, ''), '{_WORD}') AS words FROM documents),
+c AS (
+  SELECT doc_id, words, len(words) AS n_words, length(regexp_replace(text, '{_BLANK}', '', 'g')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]+', '', 'g')) AS n_symbols, length(regexp_replace(text, '[^!]+', '', 'g')) AS n_shouts,
+    list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '{_WORD}')) AS lines,
+    len(list_filter(words, lambda x: list_contains(string_split(
+      'the of and to in a is that for it on as with be was at by this are from de la le et les des un une que qui est du pas pour dans sur der die das und ist von zu den mit nicht ein eine auf sich dem für el los las y en se del por con una su para es no lo',
+      ' '), x))) AS n_stop
+  FROM w
+),
+u AS (SELECT doc_id, unnest(words) AS x, generate_subscripts(words, 1) AS i FROM c),
+g AS (
+  SELECT doc_id, i, x || ' ' || lead(x, 1) OVER o || ' ' || lead(x, 2) OVER o || ' ' || lead(x, 3) OVER o || ' ' || lead(x, 4) OVER o AS s
+  FROM u WINDOW o AS (PARTITION BY doc_id ORDER BY i)
+),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, s) AS k FROM g WHERE s IS NOT NULL) WHERE k > 1),
+v AS (SELECT doc_id, count(DISTINCT i + j) AS n FROM r, range(5) t(j) GROUP BY doc_id),
+m AS (
+  SELECT c.*, coalesce(v.n, 0) AS n_repeat_words, len(lines) - len(list_distinct(lines)) AS n_dup_lines,
+    greatest(n_words, 1) AS nw, greatest(len(lines), 1) AS nl,
+    len(list_filter(lines, lambda x: regexp_matches(x, '^[\\x20\\x09]*[-*•]'))) AS n_bullets,
+    len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…)[\\x20\\x09-\\x0D]*$'))) AS n_ellipses
+  FROM c LEFT JOIN v ON c.doc_id = v.doc_id
+),
+f AS (
+  SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed,
+    concat_ws(',',
+      CASE WHEN word_chars / nw < 2 OR word_chars / nw > 15 THEN 'mean_word_chars' END,
+      CASE WHEN n_symbols / nw > 0.1::DOUBLE THEN 'symbols_per_word' END,
+      CASE WHEN n_shouts / nw > 0.2::DOUBLE THEN 'shouts_per_word' END,
+      CASE WHEN n_stop / nw < 0.02::DOUBLE AND n_words >= 50 THEN 'stop_word_share' END,
+      CASE WHEN n_dup_lines / nl > 0.3::DOUBLE THEN 'dup_line_share' END,
+      CASE WHEN n_bullets / nl > 0.9::DOUBLE THEN 'bullet_line_share' END,
+      CASE WHEN n_ellipses / nl > 0.3::DOUBLE THEN 'ellipsis_line_share' END) AS failed_rules
+  FROM m
+)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+  NOT base_failed AND failed_rules = '' AS kept, failed_rules
+FROM f
+"""

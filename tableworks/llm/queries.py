@@ -90,5 +90,5 @@ def op10_quality(spark, sf):
         "doc_id", F.col("q_n_words").alias("n_words"), F.col("q_word_chars").alias("word_chars"),
         F.col("q_n_symbols").alias("n_symbols"), F.col("q_n_dup_lines").alias("n_dup_lines"),
         F.col("q_n_repeat_words").alias("n_repeat_words"), F.col("q_base_failed").alias("base_failed"),
-        F.col("q_kept").alias("kept"), F.col("q_failed").alias("failed_rules"),
+        F.col("q_kept").alias("kept"), F.array_join("q_failed", ",").alias("failed_rules"),
     )
