@@ -28,10 +28,11 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tableworks.functions.hashing import bucket
-from tableworks.llm.common import WORD
+from tableworks.llm.common import WORD, new_folder, stored
 
 BLOCK_WORDS = 64
 SLICES = 1024
+SLOTS_A_TASK = 200_000
 ROUNDS = 8
 WEIGHTS = (3, 1, 2)
 SHARE = 1.5
@@ -114,10 +115,12 @@ def offsets(sizes: DataFrame) -> DataFrame:
 def mix_plan(sources: DataFrame, shard_slots: int = 4096) -> DataFrame:
     """``shard, place, number, block, round``: which block each slot of each output shard takes."""
     step = 4096
+    total = sources.agg(F.max("all_slots")).first()[0] or 0
+    # A set number of partitions: the rows are few here, but each becomes thousands.
     runs = sources.filter("slots > 0").select(
         "number", "blocks", "slots", "first", "all_slots",
         F.explode(F.expr(f"sequence(0L, (slots - 1) div {step})")).alias("run"),
-    ).repartition("number", "run")
+    ).repartition(int(total // SLOTS_A_TASK) + 1, "number", "run")
     slots = runs.select(
         "number", "blocks", "first", "all_slots",
         F.explode(F.expr(f"sequence(run * {step}, least((run + 1) * {step}, slots) - 1)")).alias("k"),
@@ -144,11 +147,13 @@ def block_pieces(placed: DataFrame, sources: DataFrame, block: int = BLOCK_WORDS
 def mixed(documents: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id",
           block: int = BLOCK_WORDS, seed: int = 23):
     """``(documents with source figures and start, slots joined with their pieces)``."""
-    sizes = word_sizes(documents, text, source, key, seed)
-    sources = source_table(sizes, block=block)
+    folder = new_folder(documents.sparkSession, "mix")
+    sizes = stored(word_sizes(documents, text, source, key, seed), f"{folder}/sizes")
+    sources = stored(source_table(sizes, block=block), f"{folder}/sources")
     placed = offsets(sizes)
     pieces = block_pieces(placed, sources, block)
-    taken = mix_plan(sources).join(pieces, ["number", "block"])
+    # Both sides grow with the words and neither has a hot key: never broadcast one.
+    taken = mix_plan(sources).join(pieces.hint("merge"), ["number", "block"])
     s = sources.select(F.col("source").alias("_source"), "source_size", "target")
     docs = placed.join(s, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     return docs, taken
