@@ -15,8 +15,8 @@ from tableworks.functions import hashing as h
 from tableworks.operators.ordering import rank_within, row_index
 
 Key = str | Sequence[str]
-# Row numbers up to this limit are cut down before the shuffle by the planner.
-_GROUP_LIMIT = 1000
+# Row numbers up to this setting are cut down before the shuffle by the planner.
+_GROUP_LIMIT = "spark.sql.optimizer.windowGroupLimitThreshold"
 
 
 def complete_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
@@ -138,7 +138,7 @@ def temporal_split(df: DataFrame, col: str, cut: int) -> DataFrame:
 
 def head_split(df: DataFrame, label: str, order: str, n: int, m: int) -> DataFrame:
     """First ``n`` rows of each class are ``train``, the next ``m`` ``test``."""
-    if n + m <= _GROUP_LIMIT:
+    if n + m <= int(df.sparkSession.conf.get(_GROUP_LIMIT)):
         place = F.row_number().over(Window.partitionBy(label).orderBy(order))
         ranked = df.withColumn("_place", place).where(F.col("_place") <= n + m)
     else:

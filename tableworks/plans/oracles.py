@@ -7,7 +7,7 @@ functions and list functions where the library uses other means.
 from __future__ import annotations
 
 from tableworks.functions.text import PUNCTUATION, STOP_WORDS, WHITESPACE, WORD
-from tableworks.plans.queries import EPOCHS, GRID_RULES
+from tableworks.plans.queries import EPOCHS, GRID_RULES, TAG_EPOCHS
 from tableworks.plans.views import (
     CLAIM_CATEGORIES,
     CLAIM_CUT,
@@ -67,7 +67,7 @@ FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_
 
 SCORES = """
 SELECT l_partkey AS item, l_suppkey AS tag_id, avg(l_discount * l_quantity) AS relevance
-FROM lineitem {where} GROUP BY ALL"""
+FROM lineitem GROUP BY ALL"""
 
 ASSIGN = ("assign", "SELECT p_partkey AS item, p_size AS cluster FROM part")
 
@@ -114,16 +114,18 @@ BIGRAMS = ("bigrams", _grams("sents", "", MARKED, 2))
 BIGRAM_COUNTS = ("bcounts", "SELECT g1, g2, count(*) AS n FROM bigrams GROUP BY ALL")
 
 QUESTIONS = [
-    ("bench_lines", _lines("benchmark", "item_id")),
+    ("bench_lines", _lines("benchmark", "item_id", ", text")),
     ("bench_tokens", f"""
-SELECT item_id || ':' || line_no AS q_id, {_split('lower(line)')} AS toks FROM bench_lines"""),
+SELECT item_id || ':' || line_no AS q_id, {_split('lower(line)')} AS toks, {_split('lower(text)')} AS item FROM bench_lines"""),
+    ("blanks", """
+SELECT *, least(3, len(toks)) AS spot, toks[least(3, len(toks))] AS word FROM bench_tokens WHERE len(toks) >= 1"""),
     ("asked", """
-SELECT q_id, cand_no, CASE cand_no WHEN 1 THEN toks[3] ELSE toks[6] END AS cand, toks
-FROM bench_tokens, (VALUES (1), (2)) c(cand_no)
-WHERE len(toks) >= 6 AND toks[3] <> toks[6]"""),
+SELECT q_id, cand_no, toks, spot, CASE cand_no WHEN 1 THEN word ELSE coalesce(
+  [t FOR t IN list_concat(toks[6:6], toks, item) IF t <> word][1], CASE word WHEN 'the' THEN 'of' ELSE 'the' END) END AS cand
+FROM blanks, (VALUES (1), (2)) c(cand_no)"""),
     ("filled", f"""
 SELECT q_id, cand_no, cand,
-       [{_bare('t')} FOR t IN list_concat(toks[1:2], [cand], toks[4:])] AS toks
+       [{_bare('t')} FOR t IN list_concat(toks[1:spot - 1], [cand], toks[spot + 1:])] AS toks
 FROM asked"""),
     ("sentences_asked", """
 SELECT q_id, cand_no, cand,
@@ -349,9 +351,12 @@ ORACLES["largest_clusters"] = """
 SELECT p_size AS cluster, count(*) AS n FROM part GROUP BY p_size ORDER BY n DESC, cluster LIMIT 3"""
 
 
-def _profile(where: str, join: str, top: int, k: int) -> str:
+WIDE = ("assign", "SELECT o_orderkey AS item, day(o_orderdate) AS cluster FROM orders")
+
+
+def _profile(assign: tuple[str, str], join: str, top: int, k: int) -> str:
     return _with(
-        ("scores", SCORES.format(where=where)), ASSIGN,
+        ("scores", SCORES), assign,
         ("top", f"SELECT cluster FROM assign GROUP BY cluster ORDER BY count(*) DESC, cluster LIMIT {top}"),
         ("sums", f"""
 SELECT a.cluster, s.tag_id, sum(s.relevance) AS relevance
@@ -361,12 +366,12 @@ WHERE a.cluster IN (SELECT cluster FROM top) GROUP BY a.cluster, s.tag_id"""),
 SELECT *, row_number() OVER (PARTITION BY cluster ORDER BY round(relevance, 9) DESC NULLS LAST, tag_id NULLS LAST) AS r
 FROM sums"""),
     ) + f"""
-SELECT cluster, cast(r AS integer) AS rank, tag_id, s_name AS tag, round(relevance, 4) AS relevance
+SELECT cluster, cast(r AS integer) AS rank, tag_id, s_name AS tag, round(relevance, 6) AS relevance
 FROM ranked LEFT JOIN supplier ON tag_id = s_suppkey WHERE r <= {k}"""
 
 
-ORACLES["cluster_profile"] = _profile("", "INNER", 3, 5)
-ORACLES["cluster_profile_outer"] = _profile("WHERE l_discount >= 0.09", "LEFT", 50, 1000)
+ORACLES["cluster_profile"] = _profile(ASSIGN, "INNER", 3, 5)
+ORACLES["cluster_profile_outer"] = _profile(WIDE, "LEFT", 50, 1000)
 
 
 def _category_counts(source: str) -> str:
@@ -496,6 +501,9 @@ SELECT g1, g2, n FROM bcounts UNION ALL
 SELECT DISTINCT q.g1, q.g2, 0 FROM qgrams q ANTI JOIN bcounts b ON q.g1 = b.g1 AND q.g2 = b.g2"""),
     ("aprobs", "SELECT g1, g2, n, (n + 1) / (SELECT sum(n + 1) FROM extended) AS p FROM extended"),
 ]
+ORACLES["word_vectors"] = _with(SENTENCES, _UNIGRAMS) + "SELECT gram AS word, 5 AS size FROM uprobs"
+ORACLES["words_nearer"] = _with(SENTENCES) + """
+SELECT DISTINCT tokens[1] AS id, tokens[3] AS a, tokens[5] AS b, true AS answered FROM sents WHERE len(tokens) >= 5"""
 ORACLES["lm_unigram"] = _with(SENTENCES, _UNIGRAMS) + "SELECT gram, n, p FROM uprobs"
 ORACLES["lm_bigram"] = _with(SENTENCES, BIGRAMS, BIGRAM_COUNTS, _BPROBS) + f"""
 SELECT {_joined(2)} AS gram, n, p FROM bprobs"""
@@ -548,17 +556,17 @@ WHERE part = 1 AND (word, tag) IN (SELECT (word, tag) FROM tokens WHERE part = 0
 UNION ALL
 SELECT sent_id, 'tag_tag' AS kind, prev_tag, tag, count(*) FROM tag_pairs
 WHERE part = 1 AND (prev_tag, tag) IN (SELECT (prev_tag, tag) FROM tag_pairs WHERE part = 0) GROUP BY ALL"""
-ORACLES["tagger_weights"] = _with(TAGGED, _tagger(EPOCHS)) + """
+ORACLES["tagger_weights"] = _with(TAGGED, _tagger(TAG_EPOCHS)) + """
 SELECT 'word_tag' AS kind, word AS a, tag AS b, weight FROM tag_weights WHERE weight <> 0"""
-ORACLES["tagger_greedy"] = _with(TAGGED, _tagger(EPOCHS, "WHERE part = 0"), GREEDY) + """
+ORACLES["tagger_greedy"] = _with(TAGGED, _tagger(TAG_EPOCHS, "WHERE part = 0"), GREEDY) + """
 SELECT sent_id, cast(pos AS integer) AS pos, word, prediction AS tag FROM guessed"""
 ORACLES["tagger_beam"] = ORACLES["tagger_greedy"]
-ORACLES["tag_f1"] = _with(TAGGED, _tagger(EPOCHS, "WHERE part = 0"), GREEDY) + """
+ORACLES["tag_f1"] = _with(TAGGED, _tagger(TAG_EPOCHS, "WHERE part = 0"), GREEDY) + """
 SELECT count(*) FILTER (label = prediction AND label <> 'O') AS tp,
        count(*) FILTER (label <> prediction AND prediction <> 'O') AS fp,
        count(*) FILTER (label <> prediction AND label <> 'O') AS fn,
        round(2 * tp / nullif(2 * tp + fp + fn, 0), 6) AS f1 FROM guessed"""
-ORACLES["tagger_top_features"] = _with(TAGGED, _tagger(EPOCHS)) + """
+ORACLES["tagger_top_features"] = _with(TAGGED, _tagger(TAG_EPOCHS)) + """
 SELECT tag, cast(row_number() OVER (PARTITION BY tag ORDER BY weight DESC, word) AS integer) AS rank, word, weight
 FROM tag_weights QUALIFY rank <= 10"""
 

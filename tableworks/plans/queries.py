@@ -134,16 +134,16 @@ def largest_clusters(spark, sf):
 @query
 def cluster_profile(spark, sf):
     profile = cl.cluster_profile(v.assignment(spark, sf), v.tag_scores(spark, sf), v.tag_names(spark, sf))
-    return _round(profile, 4)
+    return _round(profile, 6)
 
 
 @query
 def cluster_profile_outer(spark, sf):
     profile = cl.cluster_profile(
-        v.assignment(spark, sf), v.tag_scores(spark, sf, discounted_only=True), v.tag_names(spark, sf),
+        v.wide_assignment(spark, sf), v.tag_scores(spark, sf), v.tag_names(spark, sf),
         top_clusters=50, k=1000, keep_unmatched=True,
     )
-    return _round(profile, 4)
+    return _round(profile, 6)
 
 
 # Features ----------------------------------------------------------------------
@@ -363,7 +363,8 @@ def next_word_accuracy(spark, sf):
 
 # Perceptron --------------------------------------------------------------------
 
-EPOCHS = 5
+EPOCHS = 10
+TAG_EPOCHS = 5
 
 
 def _polarity(spark, sf, part: int | None = None, orders=(1,)):
@@ -405,7 +406,7 @@ def perceptron_epochs(spark, sf):
 
 @query
 def perceptron_mixing(spark, sf):
-    weights = pe.fit_perceptron(*_polarity(spark, sf), epochs=2, mode="mixing", shards=4)
+    weights = pe.fit_perceptron(*_polarity(spark, sf), epochs=EPOCHS, mode="mixing", docs_per_shard=100)
     return weights.select(_text("feature"), F.round("weight", 6).alias("weight"))
 
 
@@ -432,18 +433,18 @@ def tag_features(spark, sf):
 
 @query
 def tagger_weights(spark, sf):
-    return ta.fit_tagger(v.tagged(spark, sf), epochs=EPOCHS)
+    return ta.fit_tagger(v.tagged(spark, sf), epochs=TAG_EPOCHS)
 
 
 @query
 def tagger_greedy(spark, sf):
-    weights = ta.fit_tagger(_tagged(spark, sf, 0), epochs=EPOCHS)
+    weights = ta.fit_tagger(_tagged(spark, sf, 0), epochs=TAG_EPOCHS)
     return ta.decode_greedy(_tagged(spark, sf, 1), weights)
 
 
 @query
 def tag_f1(spark, sf):
-    weights = ta.fit_tagger(_tagged(spark, sf, 0), epochs=EPOCHS)
+    weights = ta.fit_tagger(_tagged(spark, sf, 0), epochs=TAG_EPOCHS)
     test = _tagged(spark, sf, 1)
     both = ta.tag_accuracy(test, ta.decode_greedy(test, weights))
     return _round(mt.micro_f1(both, ["ORG", "MISC", "PER", "LOC"]))
@@ -453,24 +454,24 @@ def tag_f1(spark, sf):
 def tagger_top_features(spark, sf):
     train = v.tagged(spark, sf)
     vocab = train.select(F.explode("words").alias("word")).distinct()
-    return ta.top_features(ta.fit_tagger(train, epochs=EPOCHS), vocab=vocab)
+    return ta.top_features(ta.fit_tagger(train, epochs=TAG_EPOCHS), vocab=vocab)
 
 
 @query
 def tagger_transition_weights(spark, sf):
-    return ta.fit_tagger(_tagged(spark, sf, 0), transitions=True, epochs=2)
+    return ta.fit_tagger(_tagged(spark, sf, 0), transitions=True, epochs=TAG_EPOCHS)
 
 
 @query
 def tagger_viterbi(spark, sf):
-    weights = ta.fit_tagger(_tagged(spark, sf, 0), transitions=True, epochs=2)
+    weights = ta.fit_tagger(_tagged(spark, sf, 0), transitions=True, epochs=TAG_EPOCHS)
     return ta.decode_viterbi(_tagged(spark, sf, 1), weights)
 
 
 @query
 def tagger_beam(spark, sf):
     """Width 1 without transitions: the same answer as token by token."""
-    weights = ta.fit_tagger(_tagged(spark, sf, 0), epochs=EPOCHS)
+    weights = ta.fit_tagger(_tagged(spark, sf, 0), epochs=TAG_EPOCHS)
     return ta.decode_beam(_tagged(spark, sf, 1), weights, width=1)
 
 
@@ -490,8 +491,24 @@ def nearer(spark, sf):
 
 @query
 def word_vectors(spark, sf):
-    found = si.word_vectors(v.sentences(spark, sf), size=5, partitions=8)
-    return found.select("word", F.size(vector_to_array("vector")).alias("size"))
+    found = si.word_vectors(v.sentences(spark, sf), size=5)
+    return found.select("word", F.size("vector").alias("size"))
+
+
+@query
+def words_nearer(spark, sf):
+    """Word vectors in use: is a word nearer to the word two or four places on?
+
+    The vectors are trained, so only their number and a finite answer are fixed.
+    """
+    sentences = v.sentences(spark, sf)
+    vectors = si.word_vectors(sentences, size=5).withColumnRenamed("word", "id")
+    asked = sentences.where(F.size("tokens") >= 5).select(
+        F.col("tokens")[0].alias("id"), F.col("tokens")[2].alias("a"), F.col("tokens")[4].alias("b")
+    ).distinct()
+    found = si.nearer(vectors, asked)
+    sound = F.col("cosine_a").isNotNull() & F.col("cosine_b").isNotNull() & F.col("choice").isin(F.col("a"), F.col("b"))
+    return found.select("id", "a", "b", sound.alias("answered"))
 
 
 # Models ------------------------------------------------------------------------

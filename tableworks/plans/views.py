@@ -11,9 +11,9 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tableworks.functions import text as tx
 from tableworks.operators.corpus import document_lines
 from tableworks.operators.split import hash_split
-from tableworks.session import spread
 from tableworks.sources.readers import LOG_SCHEMA
 
+BUSY_PARTS = 32
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents"]
 
 
@@ -22,8 +22,12 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 
 
 def busy(spark: SparkSession, sf: str, name: str) -> DataFrame:
-    """A table that is parsed, hashed or trained on, not just counted."""
-    return spread(table(spark, sf, name))
+    """A table that is parsed, hashed or trained on, not just counted.
+
+    The test tables are one row group each, which no setting can split, so they are
+    dealt out by row; a table of many row groups would be read as it is.
+    """
+    return table(spark, sf, name).repartition(BUSY_PARTS)
 
 
 def _cents(col: str):
@@ -91,11 +95,8 @@ def ratings(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def tag_scores(spark: SparkSession, sf: str, discounted_only: bool = False) -> DataFrame:
+def tag_scores(spark: SparkSession, sf: str) -> DataFrame:
     lines = table(spark, sf, "lineitem")
-    if discounted_only:
-        # Deeply discounted lines only: some parts have none and stay unmatched.
-        lines = lines.where(F.col("l_discount") >= 0.09)
     return lines.groupBy(F.col("l_partkey").alias("item"), F.col("l_suppkey").alias("tag_id")).agg(
         F.avg(F.col("l_discount") * F.col("l_quantity")).alias("relevance")
     )
@@ -113,6 +114,13 @@ def assignment(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def wide_assignment(spark: SparkSession, sf: str) -> DataFrame:
+    """Order keys as items, more of them than there are parts: many have no line."""
+    return table(spark, sf, "orders").select(
+        F.col("o_orderkey").alias("item"), F.dayofmonth("o_orderdate").alias("cluster")
+    )
+
+
 CLAIM_CATEGORIES = ["brand", "type", "priority", "linestatus"]
 CLAIM_MEASURES = ["quantity", "price", "retail", "part_size"]
 
@@ -172,19 +180,26 @@ def sentences(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def questions(spark: SparkSession, sf: str) -> DataFrame:
-    """Fill-the-blank questions, two candidates each, from every benchmark line
-    of at least six words: the third is blanked and stands against the sixth."""
-    tokens = (
-        document_lines(table(spark, sf, "benchmark"), "item_id")
-        .select(_sent_id("item_id").alias("q_id"), tx.split_blanks(F.lower("line")).alias("all"))
-        .where(F.size("all") >= 6)
-        .select("q_id", "all", F.col("all")[2].alias("third"), F.col("all")[5].alias("sixth"))
-        .where(F.col("third") != F.col("sixth"))
-    )
-    blanked = F.concat(F.slice("all", 1, 2), F.array(F.lit(tx.BLANK)), F.slice("all", 4, F.size("all")))
+    """Fill-the-blank questions, two candidates each, from every benchmark line with a word.
+
+    The third word (the last of shorter lines) is blanked. It stands against the sixth,
+    or else the first other word of the line or of its text, or else a common word.
+    """
+    lines = table(spark, sf, "benchmark").select(
+        "item_id", tx.split_blanks(F.lower("text")).alias("item"), F.posexplode(tx.lines("text")).alias("line_no", "line")
+    )
+    tokens = lines.select(_sent_id("item_id").alias("q_id"), "item", tx.split_blanks(F.lower("line")).alias("all")).where(
+        F.size("all") >= 1
+    ).withColumn("at", F.least(F.lit(3), F.size("all"))).withColumn("word", F.element_at("all", F.col("at")))
+    other = F.filter(F.concat(F.slice("all", 6, 1), "all", "item"), lambda t: t != F.col("word"))
+    common = F.when(F.col("word") == "the", "of").otherwise("the")
+    tokens = tokens.withColumn("rival", F.coalesce(F.try_element_at(other, F.lit(1)), common))
+    blanked = F.concat(
+        F.slice("all", F.lit(1), F.col("at") - 1), F.array(F.lit(tx.BLANK)), F.slice("all", F.col("at") + 1, F.size("all"))
+    )
     return tokens.select(
         "q_id", blanked.alias("tokens"),
-        F.posexplode(F.array("third", "sixth")).alias("cand_no", "cand"),
+        F.posexplode(F.array("word", "rival")).alias("cand_no", "cand"),
     ).withColumn("cand_no", F.col("cand_no") + 1)
 
 

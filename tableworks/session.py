@@ -15,8 +15,6 @@ DEFAULTS = {
     "spark.sql.session.timeZone": "UTC",
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
-    # At run time, joins whose partitions are all this small are hashed, not sorted.
-    "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
 }
 
@@ -49,18 +47,6 @@ def shared_folder(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Use all slots for heavy work on an input of too few splits.
-
-    A small table, a single row group or a gzip file is one task however many
-    slots there are. Inputs with at least as many splits as slots, so anything
-    large, are left where they are and nothing is shuffled. Meant for scans, whose
-    splits are known without running anything.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
-
-
 @contextmanager
 def held(*tables: DataFrame) -> Iterator[None]:
     """Keep tables that are read several times; those the caller already keeps
@@ -76,7 +62,7 @@ def held(*tables: DataFrame) -> Iterator[None]:
 
 
 def written(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back.
+    """Write ``df`` to the shared folder and read it back; see ``scratch`` and ``forget``.
 
     This cuts lineage, survives lost executors, freezes anything that depends on
     the physical partitioning, and gives the planner the true size of the table:
@@ -85,4 +71,37 @@ def written(df: DataFrame, name: str) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/tableworks/{name}-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    for scope in _scopes:
+        scope.append(path)
+    back = spark.read.schema(df.schema).parquet(path)
+    back._written_to = path
+    return back
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    """Remove a folder on whatever file system it is."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    at.getFileSystem(spark._jsc.hadoopConfiguration()).delete(at, True)
+
+
+def forget(df: DataFrame | None) -> None:
+    """Delete the table that ``written`` made for ``df``; nothing may read it afterwards."""
+    path = getattr(df, "_written_to", None)
+    if path:
+        delete(df.sparkSession, path)
+
+
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Tables written inside are deleted at the end; use results before that."""
+    mine: list[str] = []
+    _scopes.append(mine)
+    try:
+        yield
+    finally:
+        _scopes.remove(mine)
+        for path in mine:
+            delete(spark, path)

@@ -8,6 +8,7 @@ from tableworks.sources.readers import (  # noqa: F401
     read_numeric_csv,
     read_questions,
     read_ratings,
+    read_report,
     read_tag_scores,
     read_tagged,
     read_tags,

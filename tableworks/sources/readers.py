@@ -1,7 +1,7 @@
 """File readers with explicit schemas: no inference pass over the data.
 
 A gzip file is one partition whatever its size, so the readers that meet them
-take ``partitions``; without it an input of fewer splits than slots is spread.
+take ``partitions``. Other files split by ``spark.sql.files.maxPartitionBytes``.
 """
 
 from __future__ import annotations
@@ -11,7 +11,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
 
 from tableworks.functions import text as tx
-from tableworks.session import spread
 
 LOG_FIELDS = ["host", "ident", "user", "stamp", "offset", "request", "status", "bytes"]
 LOG_SCHEMA = T.StructType([T.StructField(f, T.StringType()) for f in LOG_FIELDS])
@@ -38,7 +37,16 @@ PARTICLE_FEATURES = [f"low_{i}" for i in range(1, 22)] + [f"high_{i}" for i in r
 
 
 def _spread(df: DataFrame, partitions: int | None) -> DataFrame:
-    return df.repartition(partitions) if partitions else spread(df)
+    return df.repartition(partitions) if partitions else df
+
+
+def _below(spark: SparkSession, path: str):
+    """The path of a row's file below the folder that is read (whole, if a pattern is read)."""
+    at = spark._jvm.org.apache.hadoop.fs.Path(path)
+    root = at.getFileSystem(spark._jsc.hadoopConfiguration()).makeQualified(at).toUri().toString()
+    plain = lambda c: F.regexp_replace(c, "^file:/+", "file:/")
+    file, prefix = plain(F.col("file")), plain(F.lit(root.rstrip("/") + "/"))
+    return F.when(F.startswith(file, prefix), F.substr(file, F.length(prefix) + 1)).otherwise(file)
 
 
 def read_access_log(spark: SparkSession, path: str, partitions: int | None = None) -> DataFrame:
@@ -80,7 +88,10 @@ def read_claims(
 def read_labelled_docs(
     spark: SparkSession, path: str, classes: Mapping[str, int] | None = None
 ) -> DataFrame:
-    """A tree of text files, one document each, its class the folder it is in."""
+    """A tree of text files, one document each, its class the folder it is in.
+
+    ``doc_id`` is the path below ``path``.
+    """
     classes = classes or {"neg": -1, "pos": 1}
     folder = F.regexp_extract("file", r"([^/]+)/[^/]+$", 1)
     label = F.coalesce(*[F.when(folder == c, F.lit(v)) for c, v in classes.items()])
@@ -88,7 +99,7 @@ def read_labelled_docs(
         spark.read.text(path, wholetext=True, recursiveFileLookup=True)
         .select(F.col("_metadata.file_path").alias("file"), F.col("value").alias("text"))
         .select(
-            F.regexp_extract("file", r"([^/]+/[^/]+)$", 1).alias("doc_id"),
+            _below(spark, path).alias("doc_id"),
             "text",
             label.alias("label"),
         )
@@ -123,6 +134,18 @@ def read_questions(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def read_report(spark: SparkSession, path: str, form: str) -> DataFrame:
+    """``lines, read``: how many lines there are and how many ``read_questions``
+    (``form='questions'``) or ``read_tagged`` (``form='tagged'``) makes rows of."""
+    parts = {
+        "questions": F.size(F.filter(F.split("value", ":"), lambda p: p != "")) >= 2,
+        "tagged": F.size(F.split("value", "\t")) == 2,
+    }
+    return spark.read.text(path).agg(
+        F.count("*").alias("lines"), F.count(F.when(parts[form], 1)).alias("read")
+    )
+
+
 def read_tagged(
     spark: SparkSession,
     path: str,

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 from tableworks.operators import weblog as wl
 from tableworks.sources import (
     read_access_log, read_claims, read_corpus, read_labelled_docs, read_numeric_csv,
-    read_questions, read_ratings, read_tag_scores, read_tagged, read_tags,
+    read_questions, read_ratings, read_report, read_tag_scores, read_tagged, read_tags,
 )
 
 GOOD = '199.72.81.55 - - [01/Jul/1995:00:00:01 -0400] "GET /history/apollo/ HTTP/1.0" 200 6245'
@@ -139,3 +139,19 @@ def test_tagged_file(spark, tmp_path):
     rows = sorted(read_tagged(spark, path, words, tags, "rows").collect(), key=lambda r: r.pos)
     assert [(r.word, r.tag, r.word_ix, r.tag_ix) for r in rows] == [
         ("Rome", "LOC", 4, 1), ('"', "O", None, 0), ("fell", "O", None, 0)]
+
+
+def test_documents_of_one_name_in_two_folders(spark, tmp_path):
+    for part in ("train", "test"):
+        for side in ("pos", "neg"):
+            (tmp_path / part / side).mkdir(parents=True)
+            (tmp_path / part / side / "1.txt").write_text(f"{part} {side}")
+    got = {r.doc_id: (r.text, r.label) for r in read_labelled_docs(spark, str(tmp_path)).collect()}
+    assert got == {f"{p}/{s}/1.txt": (f"{p} {s}", 1 if s == "pos" else -1) for p in ("train", "test") for s in ("pos", "neg")}
+
+
+def test_lines_that_are_not_read_are_counted(spark, tmp_path):
+    (tmp_path / "q").write_text("a ____ b : x/y\nno candidates\n")
+    (tmp_path / "t").write_text("a b\tO O\nno tab\ntwo\ttabs\there\n")
+    assert tuple(read_report(spark, str(tmp_path / "q"), "questions").first()) == (2, 1)
+    assert tuple(read_report(spark, str(tmp_path / "t"), "tagged").first()) == (3, 1)

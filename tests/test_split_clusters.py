@@ -48,10 +48,11 @@ def test_time_split_ignores_what_is_no_year(spark):
 
 
 @pytest.mark.parametrize("limit", [1000, 0])
-def test_head_split_both_ways(spark, monkeypatch, limit):
-    monkeypatch.setattr(sp, "_GROUP_LIMIT", limit)
+def test_head_split_both_ways(spark, limit):
+    spark.conf.set("spark.sql.optimizer.windowGroupLimitThreshold", str(limit))
     df = spark.createDataFrame([(c, f"{i:03d}") for c in (-1, 1) for i in range(9)], "label int, name string")
     out = sp.head_split(df, "label", "name", 5, 2).collect()
+    spark.conf.unset("spark.sql.optimizer.windowGroupLimitThreshold")
     got = {(r.label, r.name): r.part for r in out}
     assert len(got) == 14 and got[(-1, "004")] == "train" and got[(1, "005")] == "test"
 
