@@ -8,8 +8,7 @@ of the orders (a pivot that one side lacks counts as behind all others), takes t
 The best of all blocks are merged.
 
 Queries are dealt over blocks as well, so a task holds one block of each whatever the
-tables' sizes.  Pivots are a sample of ``pivots`` vectors chosen by a hash of the key, a
-bounded parameter; every vector is indexed.
+tables' sizes.  Pivots are ``pivots`` vectors that are apart from each other, out of a sample four times as large, chosen by a hash of the key, a bounded parameter; every vector is indexed.
 
 Equal vectors tie, and ties go to smaller keys, so of equal vectors in a block only the
 ``k + 1`` with the smallest keys can be found; the others are left out of the files.
@@ -28,6 +27,12 @@ from pyspark.sql import DataFrame, Window, functions as F
 PIVOTS = 256
 ORDER = 128
 SHARE = 0.06
+#: Candidates of a query in a block are ``LEAST × k`` at least.
+LEAST = 50
+#: So many vectors are drawn for each pivot; those closer than this cosine to a pivot are
+#: passed over, else one dense group would hold many pivots that say the same.
+OVERSAMPLE = 4
+CLOSE = 0.8
 BLOCK = 8192
 QUERY_BLOCK = 4096
 
@@ -56,6 +61,15 @@ def _orders(unit: np.ndarray, pivots: np.ndarray, k: int) -> np.ndarray:
     return np.argsort(-(unit @ pivots.T), axis=1, kind="stable")[:, :k]
 
 
+def _apart(drawn: np.ndarray, n: int) -> np.ndarray:
+    """The first ``n`` vectors that are not close to an earlier one."""
+    chosen: list[int] = []
+    for i in range(len(drawn)):
+        if len(chosen) < n and (not chosen or (drawn[chosen] @ drawn[i]).max() < CLOSE):
+            chosen.append(i)
+    return drawn[chosen]
+
+
 def nearest(
     vectors: DataFrame, queries: DataFrame, key: str = "vec_id", vector: str = "embedding", k: int = 5,
     pivots: int = PIVOTS, order: int = ORDER, share: float = SHARE, block: int = BLOCK, query_block: int = QUERY_BLOCK,
@@ -63,12 +77,12 @@ def nearest(
     """``query_id, rank, vec_id, score``: the ``k`` nearest found of each query, its own key left out."""
     base = usable(vectors, key, vector)
     asked = usable(queries, key, vector).dropDuplicates(["key"])
-    sample = base.orderBy(F.md5(F.col("key").cast("string")), "key").limit(pivots).collect()
+    sample = base.orderBy(F.md5(F.col("key").cast("string")), "key").limit(OVERSAMPLE * pivots).collect()
     out = "query_id long, vec_id long, score double"
     spark = vectors.sparkSession
     if not sample:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    points = np.unique(_unit(np.array([r["v"] for r in sample], np.float64)), axis=0)
+    points = _apart(_unit(np.array([r["v"] for r in sample], np.float64)), pivots)
     depth = min(order, len(points))
     blocks, query_blocks = -(-base.count() // block), max(1, -(-asked.count() // query_block))
     spread = lambda n: F.sequence(F.lit(0), F.lit(n - 1))
@@ -100,7 +114,7 @@ def nearest(
         q_keys, q_values = _matrix(questions)
         q_units = _unit(q_values)
         q_orders = _orders(q_units, points, depth)
-        most = max(4 * k + 4, int(np.ceil(share * n)))
+        most = max(LEAST * k, int(np.ceil(share * n)))
         found: tuple[list, list, list] = ([], [], [])
         for i in range(len(q_keys)):
             distance = np.full(n, depth * (depth + 1), np.int64)
