@@ -22,7 +22,7 @@ from pyspark.ml.classification import (
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
 from pyspark.ml.feature import Binarizer, OneHotEncoder, StringIndexerModel, VectorAssembler
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import (
     DecisionTreeRegressor,
@@ -73,6 +73,26 @@ def cross_validate_recommender(
     return ratings.sparkSession.createDataFrame(rows, "rank int, fold int, rmse double, mae double")
 
 
+def fold_clusters(
+    ratings: DataFrame, key: Key, k: int = 5, rank: int = 10, clusters: int = 20, seed: int = 111,
+    parallelism: int = 4, **cols: str,
+) -> DataFrame:
+    """``model, item, cluster``: the item clusters of the recommender of each fold."""
+    folded = kfold(ratings, key, k, seed)
+
+    def one(task) -> DataFrame:
+        fold, train, _ = task
+        items = cluster_items(fit_recommender(train, rank, **cols), clusters)
+        return items.select(F.lit(fold).alias("model"), "item", "cluster")
+
+    with held(folded), ThreadPool(parallelism) as pool:
+        parts = pool.map(inheritable_thread_target(ratings.sparkSession)(one), list(fold_pairs(folded, k)))
+    found = parts[0]
+    for part in parts[1:]:
+        found = found.unionByName(part)
+    return found
+
+
 def cluster_items(model: ALSModel, k: int = 20, seed: int = 11) -> DataFrame:
     """``item, cluster``: k-means over the item factors."""
     factors = model.itemFactors.select("id", array_to_vector("features").alias("features"))
@@ -109,17 +129,20 @@ def fit_logistic(df: DataFrame, names: Sequence[str], label: str = "label", reg:
 
 
 def classifier_report(model: PipelineModel, test: DataFrame, label: str = "label") -> DataFrame:
-    """``accuracy, precision, recall, f1, auc`` of the 0/1 predictions, one row.
+    """``accuracy, precision, recall, f1`` of the 0/1 predictions and ``auc``, one row.
 
-    With two possible scores the ROC curve has one bend, and the area under it is
-    the mean of the two classes' recalls.
+    The area is that of the model's scores: the probability of class 1, or the
+    prediction before it is cut, or else the 0/1 prediction itself.
     """
-    y, p = F.col(label), F.col("prediction")
-    right = lambda c: F.try_divide(F.count_if((y == c) & (p == c)), F.count_if(y == c))
-    judged = model.transform(test).select(label, "prediction")
+    out = model.transform(test)
+    if "probability" in out.columns:
+        score = vector_to_array("probability")[1]
+    else:
+        score = F.col("bin_prediction" if "bin_prediction" in out.columns else "prediction")
+    judged = out.select(label, "prediction", score.alias("score"))
     with held(judged):
         row = mt.binary_metrics(judged, label).first()
-        area = judged.agg(((right(1.0) + right(0.0)) / 2).alias("auc")).first().auc
+        area = mt.auc(judged, label, "score").first()[0]
     return test.sparkSession.createDataFrame(
         [(*row, area)], "accuracy double, precision double, recall double, f1 double, auc double"
     )
@@ -189,6 +212,15 @@ def grid_search(
     return Grid(table, fitted.bestModel)
 
 
+def fit_best(train: DataFrame, families: Mapping[str, Family], table: DataFrame) -> dict[str, PipelineModel]:
+    """The best grid point of each family, fitted on ``train``; ``table`` is a grid's."""
+    settings = [(family, s) for family, f in families.items() for s in f.points]
+    best: dict[str, int] = {}
+    for row in table.orderBy(F.desc("metric"), "point").collect():  # one row per grid point
+        best.setdefault(row.family, row.point)
+    return {f: Pipeline(stages=families[f].stages).fit(train, settings[i][1]) for f, i in best.items()}
+
+
 def rank_importance(model: Model, names: Sequence[str], k: int = 3, by: str = "signed") -> DataFrame:
     """``rank, feature, importance`` of a fitted tree, forest or linear model.
 
@@ -245,11 +277,12 @@ def compare_samplings(versions: Mapping[str, tuple[DataFrame, DataFrame]],
                       features: str = "pcaFeatures", label: str = "label", reg: float = 0.01) -> DataFrame:
     """``data, train_rows, test_rows, rmse, r2`` of a linear regression on each."""
     rows = []
-    for name, (train, test) in versions.items():
-        with held(train):
-            judged = fit_linear(train, features, label, reg).transform(test)
-            m = mt.regression_metrics(judged, label).first()
-            rows.append((name, train.count(), test.count(), m.rmse, m.r2))
+    with held(*{id(test): test for _, test in versions.values()}.values()):
+        for name, (train, test) in versions.items():
+            with held(train):
+                judged = fit_linear(train, features, label, reg).transform(test)
+                m = mt.regression_metrics(judged, label).crossJoin(judged.agg(F.count("*").alias("n"))).first()
+                rows.append((name, train.count(), m.n, m.rmse, m.r2))
     return _session().createDataFrame(
         rows, "data string, train_rows bigint, test_rows bigint, rmse double, r2 double"
     )

@@ -582,3 +582,46 @@ SELECT q.vec_id AS id, a.vec_id AS a, b.vec_id AS b,
                > list_cosine_similarity(q.embedding::double[], b.embedding::double[])
             THEN a.vec_id ELSE b.vec_id END AS choice
 FROM embeddings q JOIN embeddings a ON a.vec_id = q.vec_id + 1 JOIN embeddings b ON b.vec_id = q.vec_id + 2"""
+
+
+# Fits: what must be so -----------------------------------------------------------
+
+_CLEAN = ("clean", f"SELECT * FROM claims WHERE {_ALL}")
+ORACLES["pca_explained"] = _with(CLAIMS, _CLEAN) + "SELECT row_key, 25 AS dims, true AS sound FROM clean"
+ORACLES["als_cv"] = """
+SELECT cast(rank AS integer) AS rank, cast(fold AS integer) AS fold, true AS sound
+FROM (VALUES (10), (5)) r(rank), range(5) f(fold)"""
+ORACLES["als_clusters"] = "SELECT count(DISTINCT l_partkey) AS items, true AS sound FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+ORACLES["als_fold_profiles"] = f"""
+SELECT cast(f AS integer) AS model, count(DISTINCT l_partkey) AS items, 3 AS clusters, 5 AS tags
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey, range(5) t(f)
+WHERE {bucket(ROW_KEY, 111)} % 5 <> f GROUP BY f"""
+_FACTS = f"""
+SELECT count(*) AS test_rows, cast(sum(label) AS bigint) AS positives, true AS sound
+FROM num WHERE {bucket('row_key', 44)} >= {round(0.8 * 2**32)}"""
+for _name in ("tree_classifier", "tree_threshold", "logistic"):
+    ORACLES[_name] = _with(NUMERIC) + _FACTS
+ORACLES["tree_importance"] = "SELECT cast(i AS integer) AS rank, true AS sound FROM range(1, 4) t(i)"
+ORACLES["grid_search"] = """
+WITH t AS (
+  SELECT 1 AS f, 'tree' AS family, row_number() OVER (ORDER BY d, b) AS i, 'maxBins=' || b || ' maxDepth=' || d AS params
+  FROM (VALUES (5), (10), (15)) x(d), (VALUES (16), (32)) y(b)
+  UNION ALL
+  SELECT 2, 'tree_threshold', row_number() OVER (ORDER BY d, b), 'maxBins=' || b || ' maxDepth=' || d
+  FROM (VALUES (5), (10), (15)) x(d), (VALUES (6), (16), (32)) y(b)
+  UNION ALL
+  SELECT 3, 'logistic', row_number() OVER (ORDER BY r, m, e), 'elasticNetParam=' || e || ' maxIter=' || m || ' regParam=' || r
+  FROM (VALUES ('0.01'), ('0.05')) x(r), (VALUES (10), (100)) y(m), (VALUES ('0.0'), ('0.1')) z(e)
+)
+SELECT family, cast(row_number() OVER (ORDER BY f, i) - 1 AS integer) AS point, params, true AS sound FROM t"""
+ORACLES["grid_models"] = _with(NUMERIC, ("facts", _FACTS)) + """
+SELECT family, facts.*, 3 AS features FROM facts, (VALUES ('tree'), ('tree_threshold'), ('logistic')) f(family)"""
+_HELD_OUT = f"{bucket('row_key', 666)} >= {round(0.75 * 2**32)}"
+ORACLES["claims_linear"] = _with(CLAIMS, _CLEAN) + f"""
+SELECT data, CASE data WHEN 'positives'
+  THEN (SELECT count(*) FROM clean WHERE label > 0 AND try_cast(year AS int) = {CLAIM_CUT})
+  ELSE (SELECT count(*) FROM clean WHERE {_HELD_OUT}) END AS test_rows, true AS sound
+FROM (VALUES ('full'), ('positives'), ('under'), ('over')) d(data)"""
+ORACLES["claims_forest"] = _with(CLAIMS, _CLEAN) + f"""
+SELECT count(*) AS test_rows, count(*) FILTER (label > 0) AS positives, true AS sound FROM clean WHERE {_HELD_OUT}"""
+ORACLES["claims_gamma"] = "SELECT cast(i AS integer) AS term, true AS sound FROM range(26) t(i)"

@@ -6,6 +6,7 @@ lists are shown as text.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Callable
 
 from pyspark.ml.functions import vector_to_array
@@ -26,7 +27,7 @@ from tableworks.operators import (
     weblog as wl,
 )
 from tableworks.plans import views as v
-from tableworks.session import written
+from tableworks.session import held, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -165,6 +166,9 @@ def correlation_matrix(spark, sf):
     return _round(fe.correlation_matrix(v.numeric(spark, sf), [*v.NUMERIC_FEATURES, "label"]))
 
 
+PCA_SIZE = 25
+
+
 def _claims_vectors(spark, sf):
     return fe.claims_features(
         v.claims(spark, sf), v.CLAIM_CATEGORIES, v.CLAIM_MEASURES, ["row_key", "year", "label"]
@@ -185,10 +189,10 @@ def claims_features(spark, sf):
 
 @query
 def pca_explained(spark, sf):
-    reduced, explained = fe.reduce_pca(_claims_vectors(spark, sf), 5)
+    """All 25 components; their share of the variance can only lie between 0 and 1."""
+    reduced, explained = fe.reduce_pca(_claims_vectors(spark, sf), PCA_SIZE)
     return reduced.select(
-        "row_key", F.round(vector_to_array("pcaFeatures")[0], 4).alias("first"),
-        F.lit(explained).alias("explained"),
+        "row_key", F.size(vector_to_array("pcaFeatures")).alias("dims"), F.lit(0 < explained <= 1 + 1e-9).alias("sound")
     )
 
 
@@ -512,36 +516,63 @@ def words_nearer(spark, sf):
 
 
 # Models ------------------------------------------------------------------------
+#
+# What a fit learns differs between engines. These queries give what must be so: the
+# rows judged, the points tried, sizes, and whether the figures lie in their range.
 
 @query
 def als_cv(spark, sf):
-    return mo.cross_validate_recommender(v.ratings(spark, sf), "row_key", k=5, ranks=(10, 5))
+    """Errors of both ranks on all folds, within the range of the ratings."""
+    table = mo.cross_validate_recommender(v.ratings(spark, sf), "row_key", k=5, ranks=(10, 5))
+    return table.select("rank", "fold", F.col("mae").between(0, F.col("rmse")).alias("sound"))
 
 
 @query
 def als_clusters(spark, sf):
     assigned = mo.cluster_items(mo.fit_recommender(v.ratings(spark, sf)), k=20)
-    return cl.cluster_profile(assigned, v.tag_scores(spark, sf), v.tag_names(spark, sf))
+    return assigned.agg(
+        F.count("*").alias("items"), F.count_distinct("cluster").between(2, 20).alias("sound")
+    )
+
+
+@query
+def als_fold_profiles(spark, sf):
+    """Profiles of the largest clusters of the five fold models: what each has."""
+    assigned = written(mo.fold_clusters(v.ratings(spark, sf), "row_key"), "clusters")
+    profile = cl.cluster_profile(assigned, v.tag_scores(spark, sf), v.tag_names(spark, sf), by=["model"])
+    items = assigned.groupBy("model").agg(F.count("*").alias("items"))
+    rows = profile.groupBy("model").agg(
+        F.count_distinct("cluster").alias("clusters"), F.max("rank").alias("tags")
+    )
+    return items.join(rows, "model")
 
 
 def _train_test(spark, sf):
     return sp.random_split(v.numeric(spark, sf).drop("prediction"), [0.8, 0.2], 44, "row_key")
 
 
-def _classifier(spark, sf, fit, **settings):
+def _facts(test, report, label="label"):
+    """Rows and positives of the test part, and whether accuracy and area are believable."""
+    share = F.avg(label)
+    good = (F.lit(report.accuracy) >= F.greatest(share, 1 - share) - 0.2) & F.lit(report.auc).between(0.4, 1)
+    return test.agg(
+        F.count("*").alias("test_rows"), F.sum(label).cast("bigint").alias("positives"), good.alias("sound")
+    )
+
+
+def _classifier(spark, sf, fit):
     train, test = _train_test(spark, sf)
-    model = fit(train, v.NUMERIC_FEATURES, **settings)
-    return mo.classifier_report(model, test)
+    return _facts(test, mo.classifier_report(fit(train, v.NUMERIC_FEATURES), test).first())
 
 
 @query
 def tree_classifier(spark, sf):
-    return _classifier(spark, sf, mo.fit_tree, depth=5)
+    return _classifier(spark, sf, mo.fit_tree)
 
 
 @query
 def tree_threshold(spark, sf):
-    return _classifier(spark, sf, mo.fit_tree_threshold, depth=5)
+    return _classifier(spark, sf, mo.fit_tree_threshold)
 
 
 @query
@@ -551,51 +582,80 @@ def logistic(spark, sf):
 
 @query
 def tree_importance(spark, sf):
-    model = mo.fit_tree(_train_test(spark, sf)[0], v.NUMERIC_FEATURES, depth=5)
-    return mo.rank_importance(model, v.NUMERIC_FEATURES)
+    model = mo.fit_tree(_train_test(spark, sf)[0], v.NUMERIC_FEATURES)
+    known = F.col("feature").isin(*v.NUMERIC_FEATURES) & F.col("importance").between(0, 1)
+    return mo.rank_importance(model, v.NUMERIC_FEATURES).select("rank", known.alias("sound"))
+
+
+def _params(col: str):
+    keys = F.array_sort(F.map_keys(col))
+    return F.array_join(F.transform(keys, lambda k: F.concat(k, F.lit("="), F.col(col)[k])), " ")
 
 
 @query
 def grid_search(spark, sf):
+    """All 23 points of the three families."""
+    rows = v.numeric(spark, sf).drop("prediction")
+    table = mo.grid_search(rows, mo.classifier_families(v.NUMERIC_FEATURES), "row_key", folds=3).table
+    return table.select("family", "point", _params("params").alias("params"), F.col("metric").between(0.3, 1).alias("sound"))
+
+
+@query
+def grid_models(spark, sf):
+    """The best point of each family on a quarter of the rows, fitted on all and judged.
+
+    The whole grid is ``grid_search``'s; here each family has two points.
+    """
+    train, test = _train_test(spark, sf)
     families = mo.classifier_families(
-        v.NUMERIC_FEATURES, depths=(2, 4), tree_bins=(16,), threshold_bins=(16,), regs=(0.01, 0.05),
-        iters=(5,), nets=(0.0,),
+        v.NUMERIC_FEATURES, depths=(5, 15), tree_bins=(32,), threshold_bins=(16,), regs=(0.01,), nets=(0.0,)
     )
-    rows = v.numeric(spark, sf).drop("prediction")
-    return mo.grid_search(rows, families, "row_key", folds=3).table
+    table = mo.grid_search(sp.hash_sample(train, "row_key", 0.25, 91), families, "row_key", folds=3).table
+    out = None
+    for family, model in mo.fit_best(train, families, table).items():
+        facts = _facts(test, mo.classifier_report(model, test).first())
+        top = mo.rank_importance(model, v.NUMERIC_FEATURES).count()
+        facts = facts.select(F.lit(family).alias("family"), "*", F.lit(top).alias("features"))
+        out = facts if out is None else out.unionByName(facts)
+    return out
 
 
 def _reduced_claims(spark, sf):
     """Read by every version of the data, so it is worked out once and written."""
-    return written(fe.reduce_pca(_claims_vectors(spark, sf), 5)[0], "claims")
+    return written(fe.reduce_pca(_claims_vectors(spark, sf), PCA_SIZE)[0], "claims")
 
 
 @query
 def claims_linear(spark, sf):
     versions = mo.sampling_versions(_reduced_claims(spark, sf), "row_key", cut=v.CLAIM_CUT)
-    return mo.compare_samplings(versions)
+    table = mo.compare_samplings(versions)
+    return table.select("data", "test_rows", ((F.col("rmse") > 0) & (F.col("r2") <= 1)).alias("sound"))
 
 
 def _forest(spark, sf):
     versions = mo.sampling_versions(_reduced_claims(spark, sf), "row_key", cut=v.CLAIM_CUT)
     train, test = versions["over"]
-    return mo.fit_forest(train, depth=5).transform(test)
+    return mo.fit_forest(train).transform(test)
 
 
 @query
 def claims_forest(spark, sf):
     judged = _forest(spark, sf).select(
         "bin_labels", "prediction", vector_to_array("probability")[1].alias("score"))
-    report = mt.binary_metrics(judged, "bin_labels")
-    return report.withColumn("auc", mt.auc(judged, "bin_labels", "score").scalar())
+    with held(judged):
+        report = mt.binary_metrics(judged, "bin_labels").withColumn(
+            "auc", mt.auc(judged, "bin_labels", "score").scalar()).first()
+        row = _facts(judged, report, "bin_labels").first()
+    return spark.createDataFrame([row], "test_rows bigint, positives bigint, sound boolean")
 
 
 @query
 def claims_gamma(spark, sf):
+    """Intercept and 25 coefficients, all finite; no R² if too few rows are left."""
     model, r2 = mo.fit_two_part(_forest(spark, sf), link="log")
     values = [float(model.intercept), *map(float, model.coefficients)]
-    rows = [(i, c, float(r2)) for i, c in enumerate(values)]
-    return spark.createDataFrame(rows, "term int, coefficient double, r2 double")
+    rows = [(i, math.isfinite(c) and (r2 is None or r2 <= 1)) for i, c in enumerate(values)]
+    return spark.createDataFrame(rows, "term int, sound boolean")
 
 
 @query
