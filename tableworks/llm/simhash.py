@@ -118,6 +118,7 @@ def _linked(groups: DataFrame) -> DataFrame:
 
 def links(fps: DataFrame, group: int = GROUP) -> DataFrame:
     """``a, b``: links that connect all fingerprints (column ``fp``, distinct) as close ones would."""
+    folder = new_folder(fps.sparkSession, "groups")
     rows = fps.select("fp", F.lit(0).alias("free"), F.lit("").alias("g"))
     found = None
     for level, (bits, at, free) in enumerate(_LEVELS):
@@ -126,11 +127,14 @@ def links(fps: DataFrame, group: int = GROUP) -> DataFrame:
             (F.col("v") if level == 0 else F.xxhash64("g", "v")).alias("g"),
         )
         sizes = keyed.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1")
-        grouped = keyed.join(sizes, "g")
+        # Few rows share a variant; they are read twice, here and by the next level.
+        grouped = stored(keyed.join(sizes, "g"), f"{folder}/{level}")
         last = level == len(_LEVELS) - 1
         here = _linked(grouped if last else grouped.filter(F.col("n") <= group))
         found = here if found is None else found.union(here)
         rows = grouped.filter(F.col("n") > group).select("fp", "free", "g")
+        if last or rows.isEmpty():
+            break
     return found.distinct()
 
 
