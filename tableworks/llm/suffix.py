@@ -273,7 +273,9 @@ class Removal:
             "chunk", "at", F.col("d.keys").alias("key"), F.col("d.digests").alias("digest")
         )
         first = each.groupBy("digest").agg(F.min("key").alias("least"), F.max("key").alias("most"))
-        later = each.join(first.filter("least < most"), "digest").filter("key > least")
+        # Written, so that the join shuffles both sides for itself and can split a hot digest.
+        known = stored(first.filter("least < most").select("digest", "least"), f"{self.root}/originals")
+        later = each.join(known, "digest").filter("key > least")
         path = f"{self.root}/copies"
         _publish(later.groupBy("chunk").agg(F.collect_list("at").alias("copies")), path)
         return path
