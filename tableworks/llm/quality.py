@@ -139,3 +139,11 @@ def judge(documents: DataFrame, text: str = "text", rules: Sequence[Rule] = RULE
         .withColumn("q_kept", ~F.col("q_base_failed") & (F.size("q_failed") == 0))
         .drop("q_words", "q_lines")
     )
+
+
+def good_documents(documents: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
+    """The rows of ``documents`` that pass, with their own columns."""
+    judged = judge(documents, text, rules).withColumn("q_at", F.monotonically_increasing_id())
+    # The row number holds the filter above the projection; below it, each use of a count
+    # would be worked out again.
+    return judged.filter("q_kept AND q_at >= 0").select(*[f"`{c}`" for c in documents.columns])
