@@ -15,7 +15,11 @@ one bucket at a time, and buckets are small.
    rank: all others are dropped before any sorting, without looking at their bytes.
 4. *Suffix buckets.*  The rest is dealt out by its smallest 8-byte string (so
    neighbouring suffixes travel as one string); each bucket is sorted alone, equal
-   passages become neighbours and get the smallest key they occur in.
+   passages become neighbours and get the smallest key they occur in.  Suffixes are
+   counted per smallest string first; where there are ``HOT`` or more (a frequent phrase
+   in ever new contexts) each suffix travels alone and is dealt out by a hash of its own
+   ``length`` bytes.  So what goes to a bucket together is less than ``HOT`` suffixes, or
+   equal passages, one for each chunk.
 
 What goes out and back is one packed row per chunk and bucket: a list of strings out,
 one bit per string or suffix back.  A passage in a third of all documents is one entry
@@ -48,6 +52,8 @@ COVER = (0, 1, 3, 8, 12, 18)
 CHUNK_BYTES = 4 << 20
 BUCKET_KEYS = 2_000_000
 BUCKET_SUFFIXES = 4_000_000
+#: So small a part of a bucket that sums of random parts stay near the average.
+HOT = BUCKET_SUFFIXES // 64
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64((1 << 40) - 1)
 
@@ -116,10 +122,11 @@ class Chunk:
         bucket = ((keys >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
         return places, group, keys, many, np.searchsorted(bucket, np.arange(buckets + 1))
 
-    def suffixes(self, length: int, buckets: int, bits: dict):
+    def suffixes(self, length: int, buckets: int, bits: dict, hot: np.ndarray):
         """Strings of neighbouring suffixes that may be repeated, with one ranked sample at least.
 
-        ``(start, suffixes, bucket, document)`` of each string.
+        ``(start, suffixes, hash of the smallest 8 bytes, document)`` of each string; if
+        that hash is in ``hot`` (sorted), of each suffix, with a hash of all its bytes.
         """
         places, group, keys, _, bounds = self.ranked(length, buckets)
         known = np.zeros(len(keys), bool)
@@ -162,11 +169,31 @@ class Chunk:
         count = np.diff(np.append(first, len(at)))
         spread = low[first] * _ODD
         spread ^= spread >> np.uint64(29)
-        return at[first], count, spread, doc[first]
-
-    def strings(self, length: int, buckets: int, bits: dict, out: int):
+        start, doc = at[first], doc[first]
+        alone = np.isin(spread, hot)
+        if alone.any():
+            many = np.where(alone, count, 1)
+            step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            start, doc, alone = np.repeat(start, many) + step, np.repeat(doc, many), np.repeat(alone, many)
+            count, spread = np.where(alone, 1, np.repeat(count, many)), np.repeat(spread, many)
+            spread[alone] = _hash(self.words, start[alone], length)
+        return start, count, spread, doc
+
+    def minima(self, length: int, buckets: int, bits: dict):
+        """Hashes of the smallest 8 bytes and the suffixes that distinct strings have of each."""
+        start, count, spread, _ = self.suffixes(length, buckets, bits, np.zeros(0, np.uint64))
+        body, known = self.data.tobytes(), {}
+        for i, (s, e) in enumerate(zip(start.tolist(), (start + count + length - 1).tolist(), strict=True)):
+            known.setdefault(body[s:e], i)
+        one = np.fromiter(known.values(), np.int64, len(known))
+        least, group = np.unique(spread[one], return_inverse=True)
+        total = np.zeros(len(least), np.int64)
+        np.add.at(total, group, count[one])
+        return least, total
+
+    def strings(self, length: int, buckets: int, bits: dict, out: int, hot: np.ndarray):
         """Distinct suffix strings and their smallest keys by bucket, and where each occurs."""
-        start, count, spread, doc = self.suffixes(length, buckets, bits)
+        start, count, spread, doc = self.suffixes(length, buckets, bits, hot)
         body, known, number = self.data.tobytes(), {}, np.empty(len(start), np.int64)
         for i, (s, e) in enumerate(zip(start.tolist(), (start + count + length - 1).tolist(), strict=True)):
             number[i] = known.setdefault(body[s:e], len(known))
@@ -181,13 +208,14 @@ def _bits(found: np.ndarray) -> bytes:
     return np.packbits(found).tobytes()
 
 
-def _fetch(root: str, chunk: int) -> pa.Table | None:
-    """What was written for a chunk under ``root``."""
+def _fetch(root: str, chunk: int | None) -> pa.Table | None:
+    """What was written for a chunk under ``root``, or all that lies there."""
     import pyarrow.parquet as pq
     from pyarrow import fs
 
     store, path = fs.FileSystem.from_uri(root)
-    path = f"{path}/chunk={chunk}"
+    if chunk is not None:
+        path = f"{path}/chunk={chunk}"
     if store.get_file_info(path).type == fs.FileType.NotFound:
         return None
     files = [f.path for f in store.get_file_info(fs.FileSelector(path)) if f.path.endswith(".parquet")]
@@ -202,6 +230,12 @@ def _answers(root: str, chunk: int) -> dict:
     return dict(zip(table["bucket"].to_pylist(), table["bits"].to_pylist(), strict=True))
 
 
+def _hot(root: str) -> np.ndarray:
+    table = _fetch(root, None)
+    found = table["minimum"].to_numpy() if table is not None else np.zeros(0, np.int64)
+    return np.sort(found.view(np.uint64))
+
+
 def _publish(df: DataFrame, path: str) -> None:
     """One folder per chunk."""
     df.repartition("chunk").write.partitionBy("chunk").parquet(path)
@@ -217,7 +251,8 @@ class Removal:
         self.root = new_folder(documents.sparkSession, "suffixes")
         self.schema = documents.schema
         self.chunks = self._chunked(documents, chunk_bytes)
-        total = self.chunks.agg(F.sum("bytes")).first()[0] or 0
+        total, self.n_chunks = self.chunks.agg(F.sum("bytes"), F.count("*")).first()
+        total = total or 0
         self.buckets = int(max(1, -(-total * len(COVER) // PERIOD // BUCKET_KEYS)))
         self.out = int(max(1, -(-total // BUCKET_SUFFIXES)))
 
@@ -341,15 +376,40 @@ class Removal:
         _publish(sent.groupBy("bucket").applyInArrow(ranked, "chunk long, bucket int, bits binary"), path)
         return path
 
-    def repeats(self) -> str:
-        """Write which suffixes of each chunk's strings start in a smaller document too."""
+    def hot(self) -> str:
+        """Write the smallest strings that ``HOT`` suffixes or more may have.
+
+        A chunk leaves out what it has less than ``least`` of; in all chunks together that
+        is less than half of ``HOT``, and the other half is the limit of what is counted.
+        """
+        length, buckets, opened = self.length, self.buckets, self._chunk_of()
+        ranks, least = f"{self.root}/ranks", max(1, HOT // 2 // max(1, self.n_chunks))
+
+        def counted(batches):
+            for batch in batches:
+                for number, _, c in opened(batch):
+                    minimum, n = c.minima(length, buckets, _answers(ranks, number))
+                    some = n >= least
+                    yield pa.RecordBatch.from_arrays(
+                        [pa.array(minimum[some].view(np.int64)), pa.array(n[some], pa.int64())], ["minimum", "n"]
+                    )
+
+        sent = self.chunks.select("chunk", "rows").mapInArrow(counted, "minimum long, n long")
+        path = f"{self.root}/hot"
+        sums = sent.groupBy("minimum").agg(F.sum("n").alias("n"))
+        sums.filter(F.col("n") >= HOT // 2).select("minimum").write.parquet(path)
+        return path
+
+    def _sent(self) -> DataFrame:
+        """The strings of each chunk by bucket."""
         length, buckets, out_buckets, opened = self.length, self.buckets, self.out, self._chunk_of()
-        ranks = f"{self.root}/ranks"
+        ranks, hot_path = f"{self.root}/ranks", f"{self.root}/hot"
 
         def out(batches):
+            hot = _hot(hot_path)
             for batch in batches:
                 for number, _, c in opened(batch):
-                    _, _, _, _, strings, least, bucket = c.strings(length, buckets, _answers(ranks, number), out_buckets)
+                    _, _, _, _, strings, least, bucket = c.strings(length, buckets, _answers(ranks, number), out_buckets, hot)
                     order = np.argsort(bucket, kind="stable")
                     full, first = np.unique(bucket[order], return_index=True)
                     parts = np.split(order, first[1:]) if len(full) else []
@@ -361,6 +421,14 @@ class Removal:
                         ["bucket", "chunk", "body", "sizes", "least"],
                     )
 
+        return self.chunks.select("chunk", "rows").mapInArrow(
+            out, "bucket int, chunk long, body binary, sizes binary, least binary"
+        )
+
+    def repeats(self) -> str:
+        """Write which suffixes of each chunk's strings start in a smaller document too."""
+        length = self.length
+
         def sort_bucket(table: pa.Table) -> pa.Table:
             body = np.frombuffer(b"".join(table["body"].to_pylist()), np.uint8)
             sizes = [np.frombuffer(b, np.int32).astype(np.int64) for b in table["sizes"].to_pylist()]
@@ -389,27 +457,26 @@ class Removal:
                 "bits": pa.array([_bits(parts[i]) for i in some], pa.binary()),
             })
 
-        sent = self.chunks.select("chunk", "rows").mapInArrow(
-            out, "bucket int, chunk long, body binary, sizes binary, least binary"
-        )
         path = f"{self.root}/repeats"
-        _publish(sent.groupBy("bucket").applyInArrow(sort_bucket, "chunk long, bucket int, bits binary"), path)
+        _publish(self._sent().groupBy("bucket").applyInArrow(sort_bucket, "chunk long, bucket int, bits binary"), path)
         return path
 
     def result(self, keep_text: bool) -> DataFrame:
         """The documents with what was removed; with ``keep_text`` their text is what is left."""
         length, buckets, out_buckets, opened = self.length, self.buckets, self.out, self._chunk_of()
         ranks, repeats, text = f"{self.root}/ranks", f"{self.root}/repeats", self.text
+        hot_path = f"{self.root}/hot"
         extra = [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")]
         fields = [f for f in self.schema.fields if keep_text or f.name != text]
         schema = T.StructType(fields + [T.StructField(f"r_{n}", T.LongType() if t == "long" else T.StringType()) for n, t in extra])
         names = [f.name for f in fields]
 
         def out(batches):
+            hot = _hot(hot_path)
             for batch in batches:
                 for number, rows, c in opened(batch):
                     start, count, doc, no, strings, least, bucket = c.strings(
-                        length, buckets, _answers(ranks, number), out_buckets
+                        length, buckets, _answers(ranks, number), out_buckets, hot
                     )
                     answers = _answers(repeats, number)
                     wins = np.array([len(s) - length + 1 for s in strings], np.int64)
@@ -479,5 +546,6 @@ def remove_repeats(
     work = Removal(documents, text, key, length, chunk_bytes)
     work.copies()
     work.ranks()
+    work.hot()
     work.repeats()
     return work.result(keep_text)

@@ -79,3 +79,28 @@ def test_text_that_is_left(spark):
 def test_empty_table(spark):
     df = spark.createDataFrame([], "doc_id long, text string")
     assert suffix.remove_repeats(df).collect() == []
+
+
+def test_a_frequent_phrase_is_dealt_to_many_buckets(spark, monkeypatch):
+    """A phrase in ever new contexts has one smallest string in many suffixes; no bucket gets them all."""
+    import numpy as np
+
+    r = random.Random(8)
+    noise = lambda n: "".join(r.choices("abcdefghijklmnopqrstuvwxyz0123456789", k=n))
+    phrase = "The licence says, and so on: it"
+    rows = [(i, noise(60) + phrase + noise(60)) for i in range(400)]
+    rows += [(400 + i, noise(10) + rows[i][1][20:120]) for i in range(20)]
+    monkeypatch.setattr(suffix, "BUCKET_SUFFIXES", 1000)
+    monkeypatch.setattr(suffix, "HOT", 100)
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    work = suffix.Removal(df, "text", "doc_id", 50, 3000)
+    work.copies()
+    work.ranks()
+    work.hot()
+    loads = {}
+    for row in work._sent().collect():
+        sizes = np.frombuffer(row.sizes, np.int32)
+        loads[row.bucket] = loads.get(row.bucket, 0) + int((sizes - 49).sum())
+    average = sum(loads.values()) / work.out
+    assert max(loads.values()) < 2 * average + 100
+    assert run(spark, rows) == brute(rows, 50)
