@@ -7,8 +7,10 @@ their geometric mean and held against a threshold that depends on their spread;
 paths above it are content.  The content's container is the ``article`` or ``main`` that
 holds most of it, else the smallest element that holds all of it.  In the first case all
 blocks of the container are the text, in the second those on content paths, headings
-before them and their siblings; parts that are marked as something else by tag, role or
-class (menus, headers, footers, sidebars, notices, adverts, forms, comments) never are.
+before them and their siblings; parts that are marked as something else by tag or role
+(menus, headers, footers, sidebars, adverts, forms) never are.  Words of a class or id
+(sidebar, notice, comments) are weaker: they count only for elements that hold neither
+the largest ``article`` or ``main`` nor most of the page's unlinked text and punctuation.
 
 Per-page work is a small function over one string; Spark moves no rows.  Broken markup
 is read as browsers do: missing end tags are implied, an unfinished tag at the end is
@@ -57,15 +59,15 @@ _WORDS = re.compile(r"[A-Z]?[a-z]+|[A-Z]+|[0-9]+")
 
 
 class _Element:
-    __slots__ = ("tag", "parent", "outside", "path")
+    __slots__ = ("tag", "parent", "outside", "path", "named")
 
-    def __init__(self, tag, parent, outside, path):
-        self.tag, self.parent, self.outside, self.path = tag, parent, outside, path
+    def __init__(self, tag, parent, outside, path, named=False):
+        self.tag, self.parent, self.outside, self.path, self.named = tag, parent, outside, path, named
 
 
-def _marked(tag: str, attributes: str) -> tuple[bool, str]:
-    """Whether an element is marked as outside the article, and its class for the path."""
-    outside, name = tag in OUTSIDE, ""
+def _marked(tag: str, attributes: str) -> tuple[bool, str, bool]:
+    """Whether an element is marked as outside the article, its class for the path, and whether its names say so."""
+    outside, name, named = tag in OUTSIDE, "", False
     if attributes and tag not in ("html", "body"):
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
@@ -77,8 +79,8 @@ def _marked(tag: str, attributes: str) -> tuple[bool, str]:
                 if key == "class":
                     name = "." + value.strip().lower()
                 if tag not in ("article", "main"):
-                    outside = outside or any(w.lower() in OUTSIDE_WORDS for w in _WORDS.findall(value))
-    return outside, name
+                    named = named or any(w.lower() in OUTSIDE_WORDS for w in _WORDS.findall(value))
+    return outside, name, named
 
 
 class _Page:
@@ -87,6 +89,7 @@ class _Page:
     def __init__(self, source: str):
         self.blocks: list[tuple[_Element, str, int]] = []
         root = _Element("", None, False, "")
+        self.named = False
         self.stack: list[tuple[str, _Element]] = [("", root)]
         self.parts: list[str] = []
         self.links = self.linked = 0
@@ -155,18 +158,20 @@ class _Page:
             else:
                 self.pop_to({"p"}, {"td", "th", "table", "button"})
             above = self.stack[-1][1]
-            outside, name = _marked(tag, attributes)
+            outside, name, named = _marked(tag, attributes)
+            self.named = self.named or named
             if tag == "header" and self.within(above, ("article", "main")):
                 outside = False
-            self.stack.append((tag, _Element(tag, above, above.outside or outside, f"{above.path}/{tag}{name}")))
+            self.stack.append((tag, _Element(tag, above, above.outside or outside, f"{above.path}/{tag}{name}", named)))
         else:
             if tag == "a":
                 self.links += 1
-            outside, name = _marked(tag, attributes)
+            outside, name, named = _marked(tag, attributes)
             above = self.stack[-1][1]
-            if outside and not above.outside:
+            if (outside or named) and not above.outside:
                 self.flush()  # a marked inline element is a block of its own
-                above = _Element(tag, above, True, f"{above.path}/{tag}{name}")
+                above = _Element(tag, above, outside, f"{above.path}/{tag}{name}", named)
+                self.named = self.named or named
             self.stack.append((tag, above))
 
     @staticmethod
@@ -233,10 +238,57 @@ def content_paths(blocks: list[tuple[_Element, str, int]], spread: float = 0.5)
     return {p: s for p, s in scores.items() if s >= threshold and s > 0} or {p: s for p, s in scores.items() if s == values.max()}
 
 
+def _open_blocks(page: _Page) -> list[tuple[_Element, str, int]]:
+    """Blocks that neither a tag or role nor the names of an element put outside.
+
+    Names don't count on an element that holds the largest article or main, or more than
+    half of the unlinked text and punctuation; the latter only if no article or main stands
+    free of such names, as an advert may be longer than a short article.
+    """
+    blocks = [b for b in page.blocks if not b[0].outside]
+    if not page.named:
+        return blocks
+    held: dict[_Element, list[int]] = {}
+    for element, text, plain in blocks:
+        marks, up = len(PUNCTUATION.findall(text)) if plain else 0, element
+        while up is not None:
+            total = held.setdefault(up, [0, 0])
+            total[0] += plain
+            total[1] += marks
+            up = up.parent
+    whole = [sum(b[2] for b in blocks), sum(len(PUNCTUATION.findall(b[1])) for b in blocks if b[2])]
+    leads = [max((e for e in held if e.tag == tag), key=lambda e: held[e][0], default=None) for tag in ("article", "main")]
+    most = max((held[e][0] for e in leads if e is not None), default=0)
+    spared, free = set(), False
+    for lead in leads:
+        if lead is not None and 3 * held[lead][0] >= most:
+            above, up = set(), lead
+            while up is not None:
+                above.add(up)
+                up = up.parent
+            free = free or not any(e.named for e in above)
+            spared |= above
+    shut: dict[_Element, bool] = {}
+
+    def closed(element: _Element) -> bool:
+        chain, up = [], element
+        while up is not None and up not in shut:
+            chain.append(up)
+            up = up.parent
+        state = shut[up] if up is not None else False
+        for e in reversed(chain):
+            large = not free and 2 * held[e][0] > whole[0] and 2 * held[e][1] >= whole[1]
+            state = state or e.named and e not in spared and not large
+            shut[e] = state
+        return state
+
+    return [b for b in blocks if not closed(b[0])]
+
+
 def main_text(source: str | None) -> str:
     """The blocks of the article, one per line."""
     page = _Page(source or "")
-    blocks = [b for b in page.blocks if not b[0].outside]
+    blocks = _open_blocks(page)
     if not blocks:
         return ""
     content = content_paths(blocks)

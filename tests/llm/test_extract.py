@@ -58,3 +58,20 @@ def test_tables(spark):
     got = sorted((str(r.page_id), r.main_text) for r in extract.extract(df).collect())
     assert got == [("1", "One, text."), ("1", "One, text."), ("2", ""), ("None", "")]
     assert extract.extract(df.limit(0)).collect() == []
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><div class='layout has-sidebar'><article>{ARTICLE}</article><div class=sidebar>Side text, and so on. Really.</div></div>",
+    f"<body><div class='with-comments'><main>{ARTICLE}<section class=comments><article>I like this, really.</article></section></main></div>",
+    f"<body><main><div class='no-nav'><article>{ARTICLE}</article></div></main>",
+    f"<body><section class='notice'><article>{ARTICLE}</article></section><div class='cookie-notice'>We use cookies, as all do.</div>",
+    f"<body><div id='form-page'><div>{ARTICLE}</div><div class=share>Share this, now.</div></div><div><a href=1>Privacy policy</a></div>",
+])
+def test_names_of_wrappers(page):
+    """Words in a class or id of what holds the article leave it alone; smaller parts go."""
+    assert extract.main_text(page) == WANT
+
+
+def test_an_advert_longer_than_the_article():
+    page = "<div class=ad>Buy this, now. It is good, and so on.</div><article><h1>Short.</h1><p>One.</p></article>"
+    assert extract.main_text(page) == "Short.\nOne."
