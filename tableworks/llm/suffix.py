@@ -52,8 +52,8 @@ COVER = (0, 1, 3, 8, 12, 18)
 CHUNK_BYTES = 4 << 20
 BUCKET_KEYS = 2_000_000
 BUCKET_SUFFIXES = 4_000_000
-#: So small a part of a bucket that sums of random parts stay near the average.
-HOT = BUCKET_SUFFIXES // 64
+#: Suffixes of one smallest string that may share a bucket; those split travel as 50 bytes each.
+HOT = BUCKET_SUFFIXES // 4
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64((1 << 40) - 1)
 
