@@ -105,3 +105,60 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
   NOT base_failed AND failed_rules = '' AS kept, failed_rules
 FROM f
 """
+
+
+def _crc32(text: str) -> str:
+    """CRC-32 of a text of ASCII characters, bit by bit."""
+    step = "lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
+    codes = f"list_transform(string_split({text}, ''), lambda ch: CAST(ord(ch) AS BIGINT))"
+    each = f"list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), {step})"
+    return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, b: {each}), 4294967295)"
+
+
+def _leaf(text: str) -> str:
+    fields = ["CAST(doc_id AS VARCHAR)", "source", "lang", "CAST(n_chars AS VARCHAR)", text]
+    return "sha256(" + " || ".join(f"coalesce(octet_length(encode({f})) || ':' || {f}, '-')" for f in fields) + ")"
+
+
+def _climb(name: str, start: str) -> str:
+    """Nodes of all levels of the trees in ``start``, and what stands left and right of each in its run."""
+    run = "PARTITION BY tree, level, pos // 3 ORDER BY pos ROWS BETWEEN"
+    return f"""{name} AS (
+  SELECT tree, 0 AS level, pos, d, n FROM {start}
+  UNION ALL
+  SELECT tree, level + 1, pos // 3, sha256(string_agg(d, '' ORDER BY pos)), (n + 2) // 3 FROM {name} WHERE n > 1
+  GROUP BY tree, level, pos // 3, n
+), {name}_sides AS (
+  SELECT tree, level, pos, coalesce(string_agg(d, '') OVER ({run} UNBOUNDED PRECEDING AND 1 PRECEDING), '') AS l,
+    coalesce(string_agg(d, '') OVER ({run} 1 FOLLOWING AND UNBOUNDED FOLLOWING), '') AS r
+  FROM {name} WHERE n > 1
+)"""
+
+
+ORACLES["op11_merkle_manifest"] = f"""
+WITH RECURSIVE hashed AS (
+  SELECT doc_id, coalesce('=' || source, '') AS tree, {_leaf('text')} AS d,
+    CASE WHEN {_crc32("CAST(doc_id AS VARCHAR)")} % 2 = 0 THEN {_leaf("replace(text, chr(10), '')")} ELSE {_leaf('text')} END AS now
+  FROM documents
+), leaves AS (
+  SELECT *, row_number() OVER (PARTITION BY tree ORDER BY doc_id NULLS FIRST, d) - 1 AS pos, count(*) OVER (PARTITION BY tree) AS n FROM hashed
+), {_climb('low', 'leaves')}, groups AS (
+  SELECT '' AS tree, tree AS name, row_number() OVER (ORDER BY tree) - 1 AS pos, d, count(*) OVER () AS n FROM low WHERE n = 1
+), {_climb('high', 'groups')}, steps AS (
+  SELECT 0 AS part, * FROM low_sides UNION ALL SELECT 1, * FROM high_sides
+), paths AS (
+  SELECT f.doc_id, f.tree, f.pos, s.l, s.r, row_number() OVER (PARTITION BY f.tree, f.pos ORDER BY s.part, s.level) AS k
+  FROM leaves f JOIN groups g ON g.name = f.tree
+  JOIN steps s ON s.part = 0 AND s.tree = f.tree AND s.pos = f.pos // CAST(pow(3, s.level) AS BIGINT)
+    OR s.part = 1 AND s.pos = g.pos // CAST(pow(3, s.level) AS BIGINT)
+), fold AS (
+  SELECT tree, pos, 0 AS k, now AS x FROM leaves
+  UNION ALL
+  SELECT f.tree, f.pos, p.k, sha256(p.l || f.x || p.r) FROM fold f JOIN paths p ON p.tree = f.tree AND p.pos = f.pos AND p.k = f.k + 1
+), proofs AS (SELECT tree, pos, string_agg(l || r, '' ORDER BY k) AS siblings FROM paths GROUP BY ALL),
+ends AS (SELECT tree, pos, arg_max(x, k) AS x FROM fold GROUP BY ALL)
+SELECT f.doc_id, f.d AS leaf, g.d AS subroot, (SELECT d FROM high WHERE n = 1) AS root,
+  sha256(coalesce(p.siblings, '')) AS proof_sha256, e.x AS folded_root, e.x = (SELECT d FROM high WHERE n = 1) AS verified
+FROM leaves f JOIN groups g ON g.name = f.tree JOIN ends e ON e.tree = f.tree AND e.pos = f.pos
+LEFT JOIN proofs p ON p.tree = f.tree AND p.pos = f.pos
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tableworks.llm import extract, mixing, packing, pivots, quality, sharding, simhash, suffix, tokens, warc
+from tableworks.llm import extract, merkle, mixing, packing, pivots, quality, sharding, simhash, suffix, tokens, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -92,3 +92,16 @@ def op10_quality(spark, sf):
         F.col("q_n_repeat_words").alias("n_repeat_words"), F.col("q_base_failed").alias("base_failed"),
         F.col("q_kept").alias("kept"), F.array_join("q_failed", ",").alias("failed_rules"),
     )
+
+
+@query
+def op11_merkle_manifest(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "source", "lang", "n_chars", "text")
+    tampered = F.crc32(F.col("doc_id").cast("string")) % 2 == 0
+    text = F.when(tampered, F.regexp_replace("text", "\n", "")).otherwise(F.col("text"))
+    made = merkle.manifest(docs, more={"now": merkle.leaf([*map(F.col, ("doc_id", "source", "lang", "n_chars")), text])})
+    made = made.withColumn("folded_root", merkle.folded(F.col("now"), F.col("path")))
+    return made.select(
+        F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
+        "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
+    )
