@@ -108,9 +108,12 @@ FROM f
 
 
 def _crc32(text: str) -> str:
-    """CRC-32 of a text of ASCII characters, bit by bit."""
+    """CRC-32 of the UTF-8 bytes of a text of characters up to U+00FF, bit by bit."""
     step = "lambda x, i: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END"
-    codes = f"list_transform(string_split({text}, ''), lambda ch: CAST(ord(ch) AS BIGINT))"
+    codes = (
+        f"flatten(list_transform(string_split({text}, ''), lambda ch: CASE WHEN ord(ch) < 128 THEN [CAST(ord(ch) AS BIGINT)] "
+        "ELSE [CAST(192 + ord(ch) // 64 AS BIGINT), CAST(128 + ord(ch) % 64 AS BIGINT)] END))"
+    )
     each = f"list_reduce(list_prepend(xor(c, b), CAST(range(8) AS BIGINT[])), {step})"
     return f"xor(list_reduce(list_prepend(CAST(4294967295 AS BIGINT), {codes}), lambda c, b: {each}), 4294967295)"
 
@@ -162,3 +165,35 @@ SELECT f.doc_id, f.d AS leaf, g.d AS subroot, (SELECT d FROM high WHERE n = 1) A
 FROM leaves f JOIN groups g ON g.name = f.tree JOIN ends e ON e.tree = f.tree AND e.pos = f.pos
 LEFT JOIN proofs p ON p.tree = f.tree AND p.pos = f.pos
 """
+
+ORACLES["op12_spelling_variants"] = f"""
+WITH RECURSIVE runs AS (
+  SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-zÀ-ÿ]+')) AS run
+  FROM documents
+), once AS (
+  SELECT run, count(*) AS n, {_crc32("concat(doc_id, ':', run)")} AS h FROM runs GROUP BY doc_id, run
+), slipped AS (
+  SELECT n, CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word FROM once
+), words AS (
+  SELECT word, CAST(sum(n) AS BIGINT) AS n FROM slipped WHERE length(word) >= 6 GROUP BY word HAVING sum(n) >= 5
+), cuts AS (
+  SELECT word, i, substr(word, 1, i - 1) || substr(word, i + 1) AS rest
+  FROM (SELECT word, unnest(range(1, length(word) + 1)) AS i FROM words)
+), near AS (
+  SELECT a.word, b.word AS other FROM cuts a JOIN cuts b ON a.i = b.i AND a.rest = b.rest AND a.word <> b.word
+  UNION SELECT c.word, w.word FROM cuts c JOIN words w ON w.word = c.rest
+  UNION SELECT w.word, c.word FROM cuts c JOIN words w ON w.word = c.rest
+), best AS (
+  SELECT e.word, count(*) AS n_near, arg_min(o.word, (-o.n, o.word)) AS form, max(o.n) AS form_n
+  FROM near e JOIN words o ON o.word = e.other GROUP BY e.word
+), forms AS (
+  SELECT w.word, w.n, coalesce(b.n_near, 0) AS n_near, CASE WHEN b.form_n >= 5 * w.n THEN b.form END AS form,
+    CASE WHEN b.form_n >= 5 * w.n THEN b.form_n END AS form_n
+  FROM words w LEFT JOIN best b USING (word)
+), chain AS (
+  SELECT word, word AS root, form AS further FROM forms
+  UNION ALL
+  SELECT c.word, f.word, f.form FROM chain c JOIN forms f ON f.word = c.further
+)
+SELECT f.word, f.form, c.root, f.n, f.n_near, f.form_n FROM forms f JOIN chain c ON c.word = f.word AND c.further IS NULL
+"""

@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tableworks.llm import extract, merkle, mixing, packing, pivots, quality, sharding, simhash, suffix, tokens, warc
+from tableworks.llm import edits, extract, merkle, mixing, packing, pivots, quality, sharding, simhash, spelling, suffix, tokens, warc
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -105,3 +105,15 @@ def op11_merkle_manifest(spark, sf):
         F.col("key").alias("doc_id"), "leaf", "subroot", "root", merkle.proof_digest(F.col("path")).alias("proof_sha256"),
         "folded_root", (F.col("folded_root") == F.col("root")).alias("verified"),
     )
+
+
+@query
+def op12_spelling_variants(spark, sf):
+    runs = spelling.runs(table(spark, sf, "documents").select("doc_id", "text"))
+    return spelling.variants(spelling.counted(spelling.with_slips(runs, 199)))
+
+
+@query
+def op13_edit_fingerprints(spark, sf):
+    docs = table(spark, sf, "documents").select("doc_id", "text")
+    return edits.beside_next(docs).withColumnRenamed("key", "doc_id")
