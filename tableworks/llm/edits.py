@@ -97,8 +97,9 @@ def _sampled(chars: np.ndarray, after: np.ndarray, level: int) -> bytes:
     """The hex digits of a walk: ``after`` has the step after each character, mod PERIOD."""
     if not len(after):
         return b""
-    steps = (np.diff(after.astype(np.int64), prepend=0) - 1) % PERIOD + 1
-    ends = np.cumsum(steps)
+    # Bytes wrap round as the walk's bits do.
+    before = np.concatenate([np.zeros(1, np.uint8), after[:-1]])
+    ends = np.cumsum((after - before - np.uint8(1)).astype(np.int64) + 1)
     n = int(ends[-1] >> level) + 1
     drawn = _drawn(level, 0, 1 << (n - 1).bit_length())[:n]
     drawn = drawn[drawn < ends[-1]]
@@ -164,6 +165,13 @@ def likeness(a: str, b: str) -> float:
     return _likeness(_read(a), _read(b))
 
 
+@lru_cache(maxsize=1024)
+def _places(size: int, walk: int, extra: int) -> np.ndarray:
+    """Which of ``size`` digits the bands look at."""
+    at = _mixed(np.arange(ROWS * BANDS) + (extra << 30) + (walk << 20) + (size << 8)) % np.uint64(size)
+    return at.astype(np.int64)
+
+
 def _bands(print_: tuple[int, list[bytes]], extra: int = 0) -> list[int]:
     """Keys that two like fingerprints share: drawn digits, at the own level and range, and one below, and thinned."""
     level, keys = print_[0], []
@@ -172,9 +180,9 @@ def _bands(print_: tuple[int, list[bytes]], extra: int = 0) -> list[int]:
             own = _thinned(digits, level, to)
             top = max(len(own), 1).bit_length() - 1
             for size in {1 << top, 1 << max(top - 1, 0)}:
-                at = _mixed(np.arange(ROWS * BANDS) + (extra << 30) + (walk << 20) + (size << 8)) % np.uint64(size)
-                part = own[at.astype(np.int64)].reshape(BANDS, ROWS) if len(own) else np.zeros((BANDS, ROWS), np.uint8)
-                keys += [xxhash.xxh64_intdigest(b"%d %d %d %d " % (to, walk, size, i) + row.tobytes(), extra) - 2**63 for i, row in enumerate(part)]
+                part = own[_places(size, walk, extra)].tobytes() if len(own) else bytes(ROWS * BANDS)
+                name = b"%d %d %d " % (to, walk, size)
+                keys += [xxhash.xxh64_intdigest(name + b"%d " % i + part[i * ROWS : (i + 1) * ROWS], extra) - 2**63 for i in range(BANDS)]
     return keys
 
 
