@@ -279,7 +279,7 @@ def beside_next(documents: DataFrame, text: str = "text", key: str = "doc_id") -
     made = sorted_.select(F.spark_partition_id().alias("slice"), "key", "text").mapInArrow(
         _slices, f"slice int, kind int, {_PAIR_SQL}, text string"
     )
-    made = stored(made, f"{folder}/slices")
+    made = stored(made, f"{folder}/slices", compression="zstd")
     first = made.filter(F.col("kind") == _FIRST).select("slice", F.col("text").alias("following"))
     # One number for each slice; the last one is followed by the first.
     by_number = Window.orderBy("slice")
