@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+from contextlib import contextmanager
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tableworks.session import shared_folder
@@ -29,14 +32,60 @@ def remove(spark, *paths: str) -> None:
         at.getFileSystem(conf).delete(at, True)
 
 
+_scopes: list[list[str]] = []
+
+
+@contextmanager
+def tidied(spark) -> Iterator[None]:
+    """Folders named inside by ``new_folder`` are deleted at the end; store results elsewhere before."""
+    mine: list[str] = []
+    _scopes.append(mine)
+    try:
+        yield
+    finally:
+        _scopes.remove(mine)
+        remove(spark, *mine)
+
+
 def new_folder(spark, name: str) -> str:
     """The name of a new folder that every executor can reach."""
     import uuid
 
-    return f"{shared_folder(spark).rstrip('/')}/tableworks/{name}-{uuid.uuid4().hex}"
+    path = f"{shared_folder(spark).rstrip('/')}/tableworks/{name}-{uuid.uuid4().hex}"
+    for scope in _scopes:
+        scope.append(path)
+    return path
 
 
 def stored(df: DataFrame, path: str, **options: str) -> DataFrame:
     """``df`` as a table in the shared folder."""
     df.write.options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+#: Rows are known by key and hash; this many slots of hashes are broadcast, whatever the data.
+SLOTS = 2**18
+
+
+def row_of(documents: DataFrame, key: str) -> tuple[Column, Column]:
+    """The key of a row as a number, and a hash of the whole row."""
+    return F.col(f"`{key}`").cast("long"), F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns])
+
+
+def without_rows(documents: DataFrame, gone: DataFrame, each: DataFrame, key: str) -> DataFrame:
+    """``documents`` without the rows ``gone`` (``key, row``); of equal rows one is kept.
+
+    ``each`` has ``key, row`` of all documents.  Only documents that may be gone or repeated,
+    by the slot of their hash, are shuffled; the slots are at most ``SLOTS`` numbers.  The
+    caller's columns travel as one struct and may have any name.
+    """
+    again = each.groupBy("key", "row").agg(F.count("*").alias("n")).filter("n > 1").select("key", "row")
+    asked = gone.select("key", "row").unionByName(again)
+    slots = F.broadcast(asked.select(F.pmod("row", F.lit(SLOTS)).alias("slot")).distinct())
+    number, row = row_of(documents, key)
+    own = documents.select(F.struct(*[F.col(f"`{c}`") for c in documents.columns]).alias("own"), number.alias("key"), row.alias("row"))
+    own = own.withColumn("slot", F.pmod("row", F.lit(SLOTS)))
+    kept = own.join(slots, "slot", "left_anti").select("own.*")
+    maybe = own.join(slots, "slot", "left_semi").drop("slot")
+    same = maybe["key"].eqNullSafe(gone["key"]) & (maybe["row"] == gone["row"])
+    return kept.union(maybe.join(gone, same, "left_anti").dropDuplicates(["key", "row"]).select("own.*"))

@@ -174,25 +174,26 @@ def taken_words(documents: DataFrame, **names) -> DataFrame:
 def mixed_documents(documents: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """The mix as documents: the columns of ``documents``, a row for each round of a
     document, its text cut to the words that the round takes (with the white space
-    that follows them).  Documents without words give no row."""
+    that follows them).  Documents without words give no row.
+
+    The caller's row travels as one struct, so columns may have any name."""
     columns = documents.columns
     # Rows are known by their key and a hash of all columns; equal rows are dealt by number.
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in columns])
-    named = documents.withColumn("_key", F.concat_ws(":", F.col(key).cast("string"), row.cast("string")))
-    _, taken = mixed(named, text, source, "_key")
+    own = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("own")
+    name = F.concat_ws(":", F.col(f"`{key}`").cast("string"), F.xxhash64(*[F.col(f"`{c}`") for c in columns]).cast("string"))
+    named = documents.select(own, name.alias("name"), F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").alias("source"))
+    _, taken = mixed(named, "text", "source", "name")
     rounds = taken.groupBy("key", "start", "round").agg(
         F.array_sort(F.collect_list(F.struct("from_word", "n"))).alias("parts")
     )
     copies = rounds.groupBy("key", "start").agg(F.array_sort(F.collect_list(F.struct("round", "parts"))).alias("rounds"))
-    plans = copies.groupBy(F.col("key").alias("_plan_key")).agg(
-        F.array_sort(F.collect_list(F.struct("start", "rounds"))).alias("_plans")
-    )
-    joined = named.join(plans, F.col("_key") == F.col("_plan_key"))
-    equal = Window.partitionBy("_key").orderBy("_key")
-    one = joined.withColumn("_at", F.row_number().over(equal)).withColumn("_plan", F.try_element_at("_plans", F.col("_at")))
-    tokens = F.regexp_extract_all(F.col(text), F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    one = one.withColumn("_tokens", tokens).withColumn("_round", F.explode("_plan.rounds"))
+    plans = copies.groupBy(F.col("key").alias("name")).agg(F.array_sort(F.collect_list(F.struct("start", "rounds"))).alias("plans"))
+    joined = named.select("own", "name").join(plans, "name")
+    equal = Window.partitionBy("name").orderBy("name")
+    one = joined.withColumn("plan", F.try_element_at("plans", F.row_number().over(equal)))
+    tokens = F.regexp_extract_all(F.col("own")[text], F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    one = one.select("own", tokens.alias("tokens"), F.explode("plan.rounds").alias("round"))
     cut = F.array_join(
-        F.flatten(F.transform("_round.parts", lambda p: F.slice("_tokens", (p["from_word"] + 1).cast("int"), p["n"].cast("int")))), ""
+        F.flatten(F.transform("round.parts", lambda p: F.slice("tokens", (p["from_word"] + 1).cast("int"), p["n"].cast("int")))), ""
     )
-    return one.withColumn(text, cut).select(*[f"`{c}`" for c in columns])
+    return one.select(*[(cut if c == text else F.col("own")[c]).alias(c) for c in columns])

@@ -142,8 +142,10 @@ def judge(documents: DataFrame, text: str = "text", rules: Sequence[Rule] = RULE
 
 
 def good_documents(documents: DataFrame, text: str = "text", rules: Sequence[Rule] = RULES) -> DataFrame:
-    """The rows of ``documents`` that pass, with their own columns."""
-    judged = judge(documents, text, rules).withColumn("q_at", F.monotonically_increasing_id())
+    """The rows of ``documents`` that pass, with their own columns, whatever their names."""
+    names = [F.col(f"`{c}`") for c in documents.columns]
+    own = documents.select(F.struct(*names).alias("own"), F.col(f"`{text}`").alias("text"))
     # The row number holds the filter above the projection; below it, each use of a count
     # would be worked out again.
-    return judged.filter("q_kept AND q_at >= 0").select(*[f"`{c}`" for c in documents.columns])
+    judged = judge(own, "text", rules).withColumn("at", F.monotonically_increasing_id())
+    return judged.filter("q_kept AND at >= 0").select("own.*")

@@ -25,9 +25,9 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window, functions as F
+from pyspark.sql import DataFrame, functions as F
 
-from tableworks.llm.common import new_folder, stored
+from tableworks.llm.common import new_folder, row_of, stored, tidied, without_rows
 from tableworks.llm.components import components
 
 SHINGLE = 3
@@ -57,9 +57,9 @@ def fingerprint(raw: bytes, size: int = SHINGLE) -> int:
 
 def fingerprints(documents: DataFrame, text: str, key: str) -> DataFrame:
     """``key, row, fp``: ``row`` is a hash of the whole row, ``fp`` a signed number."""
+    number, row = row_of(documents, key)
     named = documents.select(
-        F.col(key).cast("long").alias("key"), F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns]).alias("row"),
-        F.encode(F.coalesce(F.col(text), F.lit("")), "utf-8").alias("text"),
+        number.alias("key"), row.alias("row"), F.encode(F.coalesce(F.col(f"`{text}`"), F.lit("")), "utf-8").alias("text")
     )
 
     def computed(batches):
@@ -160,13 +160,9 @@ def near_duplicates(documents: DataFrame, text: str = "text", key: str = "doc_id
 
 
 def without_near_duplicates(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """``documents`` with one row of each class."""
-    keep = near_duplicates(documents, text, key).filter("keeper").select(
-        F.col("key").alias("_key"), F.col("row").alias("_row")
-    ).distinct()
-    row = F.xxhash64(*[F.col(f"`{c}`") for c in documents.columns])
-    marked = documents.withColumn("_id", F.col(key).cast("long")).withColumn("_hash", row)
-    same = F.col("_id").eqNullSafe(F.col("_key")) & (F.col("_hash") == F.col("_row"))
-    kept = marked.join(keep, same, "left_semi")
-    equal = Window.partitionBy("_id", "_hash").orderBy("_id")
-    return kept.withColumn("_n", F.row_number().over(equal)).filter("_n = 1").select(*[f"`{c}`" for c in documents.columns])
+    """``documents`` with one row of each class; their columns may have any name."""
+    spark = documents.sparkSession
+    path = new_folder(spark, "classes")
+    with tidied(spark):
+        classes = stored(near_duplicates(documents, text, key).select("key", "row", "keeper"), path)
+    return without_rows(documents, classes.filter(~F.col("keeper")).select("key", "row"), classes, key)

@@ -549,3 +549,11 @@ def remove_repeats(
     work.hot()
     work.repeats()
     return work.result(keep_text)
+
+
+def without_repeats(documents: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """``documents`` with what remains of their texts; their columns may have any name."""
+    columns = documents.columns
+    names = [f"c{i}" for i in range(len(columns))]
+    left = remove_repeats(documents.toDF(*names), names[columns.index(text)], names[columns.index(key)])
+    return left.select(*names).toDF(*columns)
