@@ -16,12 +16,11 @@ from pyspark.ml import Model, Pipeline, PipelineModel
 from pyspark.ml.classification import (
     DecisionTreeClassifier,
     LogisticRegression,
-    MultilayerPerceptronClassifier,
     RandomForestClassifier,
 )
 from pyspark.ml.clustering import KMeans
 from pyspark.ml.evaluation import MulticlassClassificationEvaluator
-from pyspark.ml.feature import Binarizer, OneHotEncoder, StringIndexerModel, VectorAssembler
+from pyspark.ml.feature import Binarizer, VectorAssembler
 from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.recommendation import ALS, ALSModel
 from pyspark.ml.regression import (
@@ -32,8 +31,10 @@ from pyspark.ml.regression import (
 from pyspark.ml.tuning import CrossValidator, ParamGridBuilder
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
+from tableworks.functions.vectors import dot
 from tableworks.operators import metrics as mt
 from tableworks.operators.features import assemble
+from tableworks.operators.gamma import fit_gamma, gamma_mean
 from tableworks.operators.split import Key, balance_over, balance_under, fold_pairs, kfold, \
     random_split, temporal_split
 from tableworks.session import held
@@ -73,6 +74,40 @@ def cross_validate_recommender(
     return ratings.sparkSession.createDataFrame(rows, "rank int, fold int, rmse double, mae double")
 
 
+def item_mean_errors(ratings: DataFrame, key: Key, k: int = 5, seed: int = 111, item: str = "movieId",
+                     rating: str = "rating") -> DataFrame:
+    """``fold, item_mean_rmse, item_mean_mae``: what each item's mean of the other folds reaches.
+
+    Every fold's means follow from the item's sums, those of the fold taken off.
+    """
+    folded = kfold(ratings, key, k, seed).select("fold", F.col(item).alias("item"), F.col(rating).alias("rating"))
+    own = folded.groupBy("item", "fold").agg(F.sum("rating").alias("s"), F.count("rating").alias("n"))
+    whole = folded.groupBy("item").agg(F.sum("rating").alias("all_s"), F.count("rating").alias("all_n"))
+    means = own.join(whole, "item").select("item", "fold", F.try_divide(F.col("all_s") - F.col("s"), F.col("all_n") - F.col("n")).alias("mean"))
+    error = F.col("rating") - F.col("mean")
+    return folded.join(means, ["item", "fold"]).where("mean is not null").groupBy("fold").agg(
+        F.sqrt(F.avg(error * error)).alias("item_mean_rmse"), F.avg(F.abs(error)).alias("item_mean_mae")
+    )
+
+
+def ridge_residual(model: ALSModel, ratings: DataFrame, reg: float = 0.1, user: str = "userId", item: str = "movieId",
+                   rating: str = "rating") -> DataFrame:
+    """``user, residual, scale``: how far each user's factors are from solving their ridge equations.
+
+    The last half step fits users to items: the sum of (x · y - r) x over a user's n items, and
+    reg n y, is 0. ``scale`` is the size of the sum of r x.
+    """
+    x = model.itemFactors.select(F.col("id").alias(item), F.col("features").cast("array<double>").alias("x"))
+    y = model.userFactors.select(F.col("id").alias(user), F.col("features").cast("array<double>").alias("y"))
+    rows = ratings.join(x, item).join(y, user).withColumn("e", dot(F.col("x"), F.col("y")) - F.col(rating))
+    terms = rows.select(user, F.col(rating).alias("r"), "e", F.posexplode(F.arrays_zip("x", "y")).alias("i", "xy"))
+    sums = terms.groupBy(user, "i").agg(
+        (F.sum(F.col("e") * F.col("xy.x")) + reg * F.count("*") * F.first("xy.y")).alias("left"), F.sum(F.col("r") * F.col("xy.x")).alias("right")
+    )
+    size = lambda c: F.sqrt(F.sum(F.col(c) * F.col(c)))
+    return sums.groupBy(F.col(user).alias("user")).agg(size("left").alias("residual"), size("right").alias("scale"))
+
+
 def fold_clusters(
     ratings: DataFrame, key: Key, k: int = 5, rank: int = 10, clusters: int = 20, seed: int = 111,
     parallelism: int = 4, **cols: str,
@@ -289,80 +324,41 @@ def compare_samplings(versions: Mapping[str, tuple[DataFrame, DataFrame]],
 
 
 def fit_forest(train: DataFrame, features: str = "pcaFeatures", label: str = "label",
-               trees: int = 10, depth: int = 30, seed: int = 1) -> PipelineModel:
-    """Claim or no claim: a forest on ``label`` above 0 (``bin_labels``)."""
-    stages = [
-        Binarizer(threshold=0.0, inputCol=label, outputCol="bin_labels"),
-        RandomForestClassifier(
-            labelCol="bin_labels", featuresCol=features, numTrees=trees, maxDepth=depth, seed=seed
-        ),
-    ]
-    return Pipeline(stages=stages).fit(train)
+               trees: int = 10, depth: int = 30, seed: int = 1, weight: str | None = None,
+               memory_mb: int = 1024) -> PipelineModel:
+    """Claim or no claim: a forest on ``label`` above 0 (``bin_labels``).
+
+    ``weight`` names a column of draws (``with_copies``): a row drawn often is one weighted
+    row, not written copies. Rows carry the node they are in, so a deep level costs no walk
+    from the root, and nodes are split as many at a time as ``memory_mb`` holds.
+    """
+    forest = RandomForestClassifier(
+        labelCol="bin_labels", featuresCol=features, numTrees=trees, maxDepth=depth, seed=seed,
+        cacheNodeIds=True, checkpointInterval=10, maxMemoryInMB=memory_mb,
+    )
+    if weight:
+        train = train.where(F.col(weight) > 0)
+        forest = forest.setWeightCol(weight)
+    return Pipeline(stages=[Binarizer(threshold=0.0, inputCol=label, outputCol="bin_labels"), forest]).fit(train)
 
 
 def fit_two_part(judged: DataFrame, features: str = "pcaFeatures", label: str = "label",
-                 link: str = "inverse", iters: int = 10):
+                 link: str = "inverse", iters: int = 50):
     """Gamma regression on rows predicted and observed positive.
 
-    Returns the model and its R² on those rows. The inverse link can run away on
-    some data; ``log`` does not.
+    Returns the fit and its R² on those rows. The inverse link is fitted by ``fit_gamma``,
+    whose steps stay where every mean is positive; ``log`` by the library.
     """
     both = judged.where((F.col("prediction") > 0) & (F.col(label) > 0)).select(features, label)
-    glm = GeneralizedLinearRegression(
-        labelCol=label, featuresCol=features, predictionCol="gamma_prediction", family="gamma",
-        link=link, maxIter=iters,
-    )
     with held(both):
-        model = glm.fit(both)
-        r2 = mt.regression_metrics(model.transform(both), label, "gamma_prediction").first().r2
-    return model, r2
-
-
-# Next-word network ---------------------------------------------------------
-
-UNKNOWN = "__unknown"
-
-
-class NextWordNet(NamedTuple):
-    model: PipelineModel
-    labels: list[str]
-    losses: list[float]
-    parameters: int
-
-
-def fit_next_word_net(
-    pairs: DataFrame, words: int = 100, embedding: int = 5, hidden: int = 128, iters: int = 100,
-    seed: int = 123,
-) -> NextWordNet:
-    """Feed-forward trigram model: w1, w2 → next.
-
-    The output layer is as wide as its vocabulary, so that is the ``words``
-    commonest; every other word is one class of its own, no pair is left out.
-    """
-    counts = pairs.groupBy(F.col("next").alias("word")).agg(F.count("*").alias("n"))
-    # At most ``words`` strings.
-    labels = [r.word for r in counts.orderBy(F.desc("n"), "word").limit(words).collect()]
-    names = ["w1", "w2", "next"]
-    ix = StringIndexerModel.from_arrays_of_labels(
-        [labels] * 3, inputCols=names, outputCols=[f"{n}_ix" for n in names], handleInvalid="keep"
-    )
-    hot = OneHotEncoder(inputCols=["w1_ix", "w2_ix"], outputCols=["w1_hot", "w2_hot"], dropLast=False)
-    size = len(labels) + 1
-    net = MultilayerPerceptronClassifier(
-        featuresCol="features", labelCol="next_ix", maxIter=iters, seed=seed,
-        layers=[2 * size, 2 * embedding, hidden, size],
-    )
-    fitted = Pipeline(stages=[ix, hot, assemble(["w1_hot", "w2_hot"]), net]).fit(pairs)
-    last = fitted.stages[-1]
-    return NextWordNet(
-        fitted, labels, list(last.summary().objectiveHistory), int(last.weights.size)
-    )
-
-
-def predict_next(net: NextWordNet, pairs: DataFrame) -> DataFrame:
-    """``pairs`` with ``predicted``, the likeliest next word."""
-    names = F.array(*[F.lit(w) for w in [*net.labels, UNKNOWN]])
-    out = net.model.transform(pairs)
-    return out.select(
-        *pairs.columns, F.element_at(names, F.col("prediction").cast("int") + 1).alias("predicted")
-    )
+        if link == "inverse":
+            fit = fit_gamma(both, features, label, iters)
+            means = both.withColumn("gamma_prediction", gamma_mean(fit, features))
+        else:
+            fit = GeneralizedLinearRegression(
+                labelCol=label, featuresCol=features, predictionCol="gamma_prediction", family="gamma",
+                link=link, maxIter=iters,
+            ).fit(both)
+            means = fit.transform(both)
+        r2 = mt.regression_metrics(means, label, "gamma_prediction").first().r2
+    return fit, r2

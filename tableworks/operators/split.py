@@ -105,24 +105,48 @@ def balance_under(
     return df.where((F.col(label) > 0) | ((F.col(label) == 0) & keep))
 
 
+def poisson_table(mean: Column) -> Column:
+    """Shares of draws of at most 0, 1, 2 ... for a Poisson mean, as an array; up to 2^-32 of all draws."""
+    last = (mean + 12 * F.sqrt(mean) + 30).cast("int")
+
+    def further(a: Column, k: Column) -> Column:
+        log = a["log"] + F.log(mean / k)
+        total = a["total"] + F.exp(log)
+        return F.struct(log.alias("log"), total.alias("total"), F.concat(a["table"], F.array(total)).alias("table"))
+
+    none = F.exp(-mean)
+    begin = F.struct((-mean).alias("log"), none.alias("total"), F.array(none).alias("table"))
+    return F.aggregate(F.sequence(F.lit(1), last), begin, further, lambda a: a["table"])
+
+
+def with_copies(df: DataFrame, label: str, key: Key, seed: int = 111, name: str = "copies") -> DataFrame:
+    """Add how often each row is drawn when positives are sampled with replacement.
+
+    rows/positives draws a row on average, as independent draws give them: the hash of a row
+    is looked up in the table of the Poisson distribution. Other rows are drawn once, rows
+    without a label never. A fit that takes weights needs no written copies.
+    """
+    counts = class_counts(df, label).where("positives > 0")
+    table = counts.select(poisson_table(F.col("total") / F.col("positives"))).scalar()
+    drawn = F.size(F.filter(table, lambda c: c <= h.unit(key, seed)))
+    copies = F.when(F.col(label) > 0, drawn).when(F.col(label) == 0, 1)
+    return df.withColumn(name, F.coalesce(copies, F.lit(0)).cast("int"))
+
+
 def balance_over(
     df: DataFrame, label: str, key: Key | None, seed: int = 111, method: str = "hash",
     copy_no: str | None = None,
 ) -> DataFrame:
-    """Repeat positive rows rows/positives times on average; others once.
+    """Draw positive rows with replacement, rows/positives times on average; others are kept once.
 
     ``copy_no`` names a column to number the copies of each row from 0.
     """
-    positives, negatives = df.where(F.col(label) > 0), df.where(F.col(label) == 0)
     if method == "spark":
+        positives, negatives = df.where(F.col(label) > 0), df.where(F.col(label) == 0)
         c = class_counts(df, label).first()
         return negatives.unionByName(positives.sample(True, c.total / c.positives, seed))
-    ratio = _share(df, label, "total", "positives")
-    whole = F.floor(ratio)
-    extra = (h.unit(key, seed) < ratio - whole).cast("int")
-    copies = F.when(F.col(label) > 0, (whole + extra).cast("int")).when(F.col(label) == 0, 1)
     names = df.columns
-    drawn = df.withColumn("_copies", F.coalesce(copies, F.lit(0))).select(
+    drawn = with_copies(df, label, key, seed, "_copies").select(
         *names, F.posexplode(F.array_repeat(F.lit(True), F.col("_copies"))).alias("_copy", "_one")
     )
     return drawn.select(*names, *([F.col("_copy").alias(copy_no)] if copy_no else []))

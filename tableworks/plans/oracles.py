@@ -61,7 +61,7 @@ SELECT {ROW_KEY} AS row_key, cast(year(o_orderdate) AS varchar) AS year, p_brand
        nullif(p_type, 'PROMO') AS type, o_orderpriority AS priority, l_linestatus AS linestatus,
        l_quantity AS quantity, l_extendedprice AS price, p_retailprice AS retail,
        cast(p_size AS double) AS part_size,
-       CASE WHEN l_returnflag = 'R' AND l_discount >= 0.09
+       CASE WHEN l_quantity >= 30 AND l_discount >= 0.09
             THEN l_extendedprice * l_discount ELSE 0.0 END AS label
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN part ON l_partkey = p_partkey""")
 
@@ -341,10 +341,14 @@ WHERE label > 0 OR {bucket('row_key', 12)} / 4294967296.0::double
 ORACLES["balance_over"] = _with(
     CLAIMS,
     ("ratio", "SELECT count(*) / count(*) FILTER (label > 0) AS r FROM claims"),
+    ("poisson", """
+SELECT list(until ORDER BY k) AS steps FROM (
+  SELECT k, sum(exp(-r + k * ln(r) - lgamma(k + 1))) OVER (ORDER BY k) AS until
+  FROM ratio, range(0, cast(floor(r + 12 * sqrt(r) + 30) AS bigint) + 1) t(k))"""),
     ("drawn", f"""
-SELECT row_key, label, CASE WHEN label > 0 THEN floor(r) + cast(
-         {bucket('row_key', 111)} / 4294967296.0::double < r - floor(r) AS integer) ELSE 1 END AS copies
-FROM claims, ratio"""),
+SELECT row_key, label, CASE WHEN label > 0 THEN len(list_filter(steps, lambda c: c <=
+         {bucket('row_key', 111)} / 4294967296.0::double)) ELSE 1 END AS copies
+FROM claims, poisson"""),
 ) + "SELECT row_key, round(label, 6) AS label, cast(copies AS bigint) AS copies FROM drawn WHERE copies > 0"
 
 ORACLES["largest_clusters"] = """
@@ -588,20 +592,33 @@ FROM embeddings q JOIN embeddings a ON a.vec_id = q.vec_id + 1 JOIN embeddings b
 
 _CLEAN = ("clean", f"SELECT * FROM claims WHERE {_ALL}")
 ORACLES["pca_explained"] = _with(CLAIMS, _CLEAN) + "SELECT row_key, 25 AS dims, true AS sound FROM clean"
-ORACLES["als_cv"] = """
-SELECT cast(rank AS integer) AS rank, cast(fold AS integer) AS fold, true AS sound
-FROM (VALUES (10), (5)) r(rank), range(5) f(fold)"""
-ORACLES["als_clusters"] = "SELECT count(DISTINCT l_partkey) AS items, true AS sound FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
+_RATINGS = ("ratings", f"""
+SELECT {ROW_KEY} AS row_key, o_custkey AS customer, l_partkey AS item,
+       1 + (o_custkey % 5) * 0.5 + (l_partkey % 4) * 0.75 + (l_quantity % 2) * 0.25 AS rating,
+       {bucket(ROW_KEY, 111)} % 5 AS part
+FROM lineitem JOIN orders ON l_orderkey = o_orderkey""")
+ORACLES["als_cv"] = _with(_RATINGS) + """
+, folds AS (SELECT f FROM range(5) t(f)),
+means AS (SELECT f, item, avg(rating) AS mean FROM ratings, folds WHERE part <> f GROUP BY f, item),
+judged AS (SELECT r.part AS f, r.rating - m.mean AS e FROM ratings r JOIN means m ON m.f = r.part AND m.item = r.item)
+SELECT cast(rank AS integer) AS rank, cast(f AS integer) AS fold, round(sqrt(avg(e * e)), 4) AS item_mean_rmse,
+       round(avg(abs(e)), 4) AS item_mean_mae, true AS sound
+FROM judged, (VALUES (10), (5)) r(rank) GROUP BY rank, f"""
+ORACLES["als_clusters"] = "SELECT count(DISTINCT l_partkey) AS items, true AS separates, true AS solves FROM lineitem JOIN orders ON l_orderkey = o_orderkey"
 ORACLES["als_fold_profiles"] = f"""
 SELECT cast(f AS integer) AS model, count(DISTINCT l_partkey) AS items, 3 AS clusters, 5 AS tags
 FROM lineitem JOIN orders ON l_orderkey = o_orderkey, range(5) t(f)
 WHERE {bucket(ROW_KEY, 111)} % 5 <> f GROUP BY f"""
+MEASURED = ("measured", f"""
+SELECT *, cast((quantity / 50 + 6 * discount > 0.805) <> ({bucket('row_key', 77)} % 10 = 0) AS double) AS label
+FROM (SELECT * EXCLUDE (label, prediction) FROM num)""")
 _FACTS = f"""
-SELECT count(*) AS test_rows, cast(sum(label) AS bigint) AS positives, true AS sound
-FROM num WHERE {bucket('row_key', 44)} >= {round(0.8 * 2**32)}"""
+SELECT count(*) AS test_rows, cast(sum(label) AS bigint) AS positives, round(greatest(avg(label), 1 - avg(label)), 6) AS majority, true AS sound
+FROM measured WHERE {bucket('row_key', 44)} >= {round(0.8 * 2**32)}"""
 for _name in ("tree_classifier", "tree_threshold", "logistic"):
-    ORACLES[_name] = _with(NUMERIC) + _FACTS
-ORACLES["tree_importance"] = "SELECT cast(i AS integer) AS rank, true AS sound FROM range(1, 4) t(i)"
+    ORACLES[_name] = _with(NUMERIC, MEASURED) + _FACTS
+ORACLES["tree_importance"] = """
+SELECT cast(1 AS integer) AS rank, 'quantity' AS feature, true AS sound UNION ALL SELECT 2, 'discount', true"""
 ORACLES["grid_search"] = """
 WITH t AS (
   SELECT 1 AS f, 'tree' AS family, row_number() OVER (ORDER BY d, b) AS i, 'maxBins=' || b || ' maxDepth=' || d AS params
@@ -614,14 +631,20 @@ WITH t AS (
   FROM (VALUES ('0.01'), ('0.05')) x(r), (VALUES (10), (100)) y(m), (VALUES ('0.0'), ('0.1')) z(e)
 )
 SELECT family, cast(row_number() OVER (ORDER BY f, i) - 1 AS integer) AS point, params, true AS sound FROM t"""
-ORACLES["grid_models"] = _with(NUMERIC, ("facts", _FACTS)) + """
+ORACLES["grid_models"] = _with(NUMERIC, MEASURED, ("facts", _FACTS)) + """
 SELECT family, facts.*, 3 AS features FROM facts, (VALUES ('tree'), ('tree_threshold'), ('logistic')) f(family)"""
 _HELD_OUT = f"{bucket('row_key', 666)} >= {round(0.75 * 2**32)}"
-ORACLES["claims_linear"] = _with(CLAIMS, _CLEAN) + f"""
-SELECT data, CASE data WHEN 'positives'
-  THEN (SELECT count(*) FROM clean WHERE label > 0 AND try_cast(year AS int) = {CLAIM_CUT})
-  ELSE (SELECT count(*) FROM clean WHERE {_HELD_OUT}) END AS test_rows, true AS sound
-FROM (VALUES ('full'), ('positives'), ('under'), ('over')) d(data)"""
+_TEST = ("held", f"""
+SELECT 'positives' AS data, label FROM clean WHERE label > 0 AND try_cast(year AS int) = {CLAIM_CUT}
+UNION ALL SELECT d, label FROM clean, (VALUES ('full'), ('under'), ('over')) t(d) WHERE {_HELD_OUT}""")
+ORACLES["claims_linear"] = _with(CLAIMS, _CLEAN, _TEST) + """
+SELECT data, count(*) AS test_rows, round(stddev_pop(label), 4) AS spread, true AS sound FROM held GROUP BY data"""
 ORACLES["claims_forest"] = _with(CLAIMS, _CLEAN) + f"""
 SELECT count(*) AS test_rows, count(*) FILTER (label > 0) AS positives, true AS sound FROM clean WHERE {_HELD_OUT}"""
-ORACLES["claims_gamma"] = "SELECT cast(i AS integer) AS term, true AS sound FROM range(26) t(i)"
+ORACLES["claims_gamma"] = "SELECT cast(i AS integer) AS term, true AS solved FROM range(26) t(i)"
+ORACLES["next_word_net"] = _with(SENTENCES) + """
+, marked AS (SELECT ['START', 'START'] || tokens || ['END', 'END'] AS items FROM sents),
+nexts AS (SELECT unnest(items[3:]) AS next FROM marked),
+counts AS (SELECT next, count(*) AS n FROM nexts GROUP BY next)
+SELECT cast(sum(n) AS bigint) AS pairs, count(*) AS words, round(max(n) / sum(n), 6) AS commonest,
+       true AS beats_commonest, true AS beats_frequencies FROM counts"""

@@ -9,11 +9,11 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tableworks.functions import text as tx
+from tableworks.functions.hashing import bucket
 from tableworks.operators.corpus import document_lines
 from tableworks.operators.split import hash_split
 from tableworks.sources.readers import LOG_SCHEMA
 
-BUSY_PARTS = 32
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents"]
 
 
@@ -24,10 +24,11 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
 def busy(spark: SparkSession, sf: str, name: str) -> DataFrame:
     """A table that is parsed, hashed or trained on, not just counted.
 
-    The test tables are one row group each, which no setting can split, so they are
-    dealt out by row; a table of many row groups would be read as it is.
+    The test tables are one row group each, which no setting can split. Only such a table,
+    with fewer splits than the session works on at once, is dealt out by row.
     """
-    return table(spark, sf, name).repartition(BUSY_PARTS)
+    rows, wanted = table(spark, sf, name), spark.sparkContext.defaultParallelism
+    return rows.repartition(wanted) if rows.rdd.getNumPartitions() < wanted else rows
 
 
 def _cents(col: str):
@@ -82,7 +83,15 @@ def numeric(spark: SparkSession, sf: str) -> DataFrame:
 NUMERIC_FEATURES = ["quantity", "price", "discount", "tax", "line"]
 
 
+def measured(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items with a 0/1 label that two features give, turned over for about one row in ten."""
+    rule = F.col("quantity") / 50 + 6 * F.col("discount") > 0.805
+    flipped = bucket("row_key", 77) % 10 == 0
+    return numeric(spark, sf).drop("prediction").withColumn("label", (rule != flipped).cast("double"))
+
+
 def ratings(spark: SparkSession, sf: str) -> DataFrame:
+    """Orders as ratings: a part of the customer, one of the item, and a little of neither."""
     orders = table(spark, sf, "orders").select("o_orderkey", "o_custkey")
     lines = table(spark, sf, "lineitem").select(
         "l_orderkey", "l_partkey", "l_quantity", row_key().alias("row_key")
@@ -91,7 +100,7 @@ def ratings(spark: SparkSession, sf: str) -> DataFrame:
         "row_key",
         F.col("o_custkey").cast("int").alias("userId"),
         F.col("l_partkey").cast("int").alias("movieId"),
-        F.col("l_quantity").alias("rating"),
+        (1 + (F.col("o_custkey") % 5) * 0.5 + (F.col("l_partkey") % 4) * 0.75 + (F.col("l_quantity") % 2) * 0.25).alias("rating"),
     )
 
 
@@ -126,14 +135,14 @@ CLAIM_MEASURES = ["quantity", "price", "retail", "part_size"]
 
 
 def claims(spark: SparkSession, sf: str) -> DataFrame:
-    """Insurance-like rows; one part type is turned to NULL."""
+    """Insurance-like rows; one part type is turned to NULL. Some of the large ones are paid."""
     lines = busy(spark, sf, "lineitem").select(
         row_key().alias("row_key"), "l_orderkey", "l_partkey", "l_quantity", "l_extendedprice",
-        "l_discount", "l_returnflag", "l_linestatus",
+        "l_discount", "l_linestatus",
     )
     orders = table(spark, sf, "orders").select("o_orderkey", "o_orderdate", "o_orderpriority")
     part = table(spark, sf, "part").select("p_partkey", "p_brand", "p_type", "p_retailprice", "p_size")
-    paid = (F.col("l_returnflag") == "R") & (F.col("l_discount") >= 0.09)
+    paid = (F.col("l_quantity") >= 30) & (F.col("l_discount") >= 0.09)
     return (
         lines.join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
         .join(part, F.col("l_partkey") == F.col("p_partkey"))
