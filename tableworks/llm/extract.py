@@ -5,12 +5,16 @@ one group: its ratios are the text length and the number of punctuation marks pe
 links left out.  Both are smoothed over neighbouring blocks in page order, fused by
 their geometric mean and held against a threshold that depends on their spread; the
 paths above it are content.  The content's container is the ``article`` or ``main`` that
-holds most of it, else the smallest element that holds all of it.  In the first case all
-blocks of the container are the text, in the second those on content paths, headings
-before them and their siblings; parts that are marked as something else by tag or role
-(menus, headers, footers, sidebars, adverts, forms) never are.  Words of a class or id
-(sidebar, notice, comments) are weaker: they count only for elements that hold neither
-the largest ``article`` or ``main`` nor most of the page's unlinked text and punctuation.
+holds most of it, else the smallest element that holds all of it.  The container limits
+the candidates.  In it, blocks on content paths are the text, and headings; of the others
+those that are mostly no link, in an ``article`` or ``main`` wherever they stand, else where
+they are siblings of content.  So short paragraphs stay, lists of links and adverts go.
+
+Parts that are menus, headers, footers or sidebars by their tag never are text.  Forms,
+dialogs, roles (search, banner) and words of a class or id (sidebar, notice, comments) are
+weaker: they count only for elements that hold neither the largest ``article`` or ``main``
+nor most of the page's unlinked text and punctuation.  So does a first heading that
+speaks of nothing but comments.
 
 Per-page work is a small function over one string; Spark moves no rows.  Broken markup
 is read as browsers do: missing end tags are implied, an unfinished tag at the end is
@@ -32,12 +36,13 @@ from pyspark.sql import DataFrame, functions as F
 #: Tags and class words with a fixed meaning in HTML and in common page templates.
 BLOCKS = frozenset(
     "address article aside blockquote body caption center dd details dialog dir div dl dt fieldset figcaption figure "
-    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre section summary "
+    "footer form h1 h2 h3 h4 h5 h6 header hgroup hr html legend li main menu nav ol p pre search section summary "
     "table tbody td tfoot th thead tr ul".split()
 )
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 RAW = frozenset("script style title textarea noscript template iframe noembed noframes svg math select object canvas audio video button".split())
-OUTSIDE = frozenset("nav aside footer form menu dialog header head".split())
+OUTSIDE = frozenset("nav aside footer menu header head".split())
+OUTSIDE_WEAK = frozenset("form dialog search".split())
 OUTSIDE_ROLES = frozenset("navigation banner contentinfo complementary search form dialog alert menu menubar toolbar".split())
 OUTSIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising sponsor sponsored promo promotion sidebar nav navbar navigation menu "
@@ -45,6 +50,7 @@ OUTSIDE_WORDS = frozenset(
     "comments commentlist reply replies discussion disqus respond share sharing social related recommended newsletter "
     "subscribe subscription signup login pagination pager toolbar disclaimer copyright banner widget form".split()
 )
+COMMENT_WORDS = frozenset("comment comments reply replies response responses leave post a your all no so far".split())
 HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 PUNCTUATION = re.compile(r"[.,;:!?…。，、；：！？]")
 _CLOSES = {
@@ -67,14 +73,14 @@ class _Element:
 
 def _marked(tag: str, attributes: str) -> tuple[bool, str, bool]:
     """Whether an element is marked as outside the article, its class for the path, and whether its names say so."""
-    outside, name, named = tag in OUTSIDE, "", False
+    outside, name, named = tag in OUTSIDE, "", tag in OUTSIDE_WEAK
     if attributes and tag not in ("html", "body"):
         for key, value in _ATTRIBUTE.findall(attributes):
             key, value = key.lower(), value.strip("\"'")
             if key == "hidden" or key == "aria-hidden" and value == "true":
                 outside = True
             elif key == "role":
-                outside = outside or value.lower() in OUTSIDE_ROLES
+                named = named or tag not in ("article", "main") and value.lower() in OUTSIDE_ROLES
             elif key in ("class", "id"):
                 if key == "class":
                     name = "." + value.strip().lower()
@@ -141,9 +147,20 @@ class _Page:
     def flush(self) -> None:
         text = " ".join("".join(self.parts).split())
         if text:
+            self.titled(text)
             self.blocks.append((self.stack[-1][1], text, max(0, len(text) - self.linked)))
         self.parts, self.linked = [], 0
 
+    def titled(self, text: str) -> None:
+        """A part whose first block is a heading about comments is marked like one with such a name."""
+        element = self.stack[-1][1]
+        part = element.parent
+        if element.tag in HEADINGS and part is not None and part.parent is not None and part.tag not in ("article", "main", "body", "html"):
+            words = [w.lower() for w in re.findall(r"[^\W\d_]+", text)]
+            if words and COMMENT_WORDS.issuperset(words) and any(w[:4] in ("comm", "repl", "resp") for w in words):
+                if not any(_inside(e, {part}) for e, _, _ in self.blocks):
+                    part.named = self.named = True
+
     def open(self, tag: str, attributes: str) -> None:
         if tag == "br" or tag in VOID:
             if tag == "hr":
@@ -305,7 +322,10 @@ def main_text(source: str | None) -> str:
         if named and sum(named.values()) >= 0.5 * whole:
             most = max(named.values())
             kept = {e for e, m in named.items() if 3 * m >= most}
-            return "\n".join(b[1] for b in blocks if _inside(b[0], kept))
+            return "\n".join(
+                text for element, text, plain in blocks
+                if _inside(element, kept) and (element.path in content or element.tag in HEADINGS or 2 * plain > len(text))
+            )
     near = {b[0].parent for b in chosen if b[0].parent is not None}
     first = next(i for i, b in enumerate(blocks) if b[0].path in content)
     best = max(mass, key=lambda e: (mass[e], len(e.path)))

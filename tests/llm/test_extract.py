@@ -75,3 +75,31 @@ def test_names_of_wrappers(page):
 def test_an_advert_longer_than_the_article():
     page = "<div class=ad>Buy this, now. It is good, and so on.</div><article><h1>Short.</h1><p>One.</p></article>"
     assert extract.main_text(page) == "Short.\nOne."
+
+
+@pytest.mark.parametrize("page", [
+    f"<body><form id=aspnetForm><article>{ARTICLE}</article></form>",
+    f"<body><div role=form><article>{ARTICLE}</article></div><div role=search>Find, here. Or there.</div>",
+    f"<body><form action=x><div>{ARTICLE}</div><div class=footer>All rights, reserved.</div></form>",
+    f"<body><div role=dialog><main>{ARTICLE}</main></div><dialog>Accept, please.</dialog>",
+    f"<body><main>{ARTICLE}<form><p>Write, to us.</p></form><div role=alert>Note, this.</div></main>",
+])
+def test_forms_and_roles(page):
+    """A form or role on what holds the article leaves it alone; smaller ones go."""
+    assert extract.main_text(page) == WANT
+
+
+@pytest.mark.parametrize("part", [
+    "<ul><li><a href=1>Another article</a></li><li><a href=2>And one more</a></li></ul>",
+    "<div><a href=3>Buy now our product</a></div>",
+    "<section><h2>3 Comments</h2><div><p>I like this, very much. Really, I do.</p></div><div><p>Me too, of course.</p></div></section>",
+    "<div><h3>Leave a reply</h3><p>Say something, please. Be kind.</p></div>",
+])
+def test_parts_inside_the_article(part):
+    """Link lists, adverts and comments without telling names are no text."""
+    assert extract.main_text(f"<body><article>{ARTICLE}{part}</article>") == WANT
+
+
+def test_short_parts_of_the_article_stay():
+    page = f"<article>{ARTICLE}<h2><a href=1>Next</a></h2><ul><li>One</li><li>Two <a href=2>x</a> words</li></ul><p><a href=3>All link</a></p><h3>Comments</h3><p>As I said, before.</p></article>"
+    assert extract.main_text(page) == WANT + "\nNext\nOne\nTwo x words\nAll link\nComments\nAs I said, before."
