@@ -6,7 +6,10 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tableworks.llm import edits, extract, merkle, mixing, packing, pivots, quality, sharding, simhash, spelling, suffix, tokens, warc
+from tableworks.llm import (
+    edits, extract, merkle, mixing, packing, pivots, quality, sharding, simhash, spelling, suffix, tokens, warc,
+)
+from tableworks.llm.common import new_folder
 
 REGISTRY: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -70,10 +73,14 @@ def op7_mix(spark, sf):
 
 @query
 def op8_virtual_slots(spark, sf):
+    """Version 1 of the map places the records; version 2, edited for one shard more, is stored beside it."""
     docs = table(spark, sf, "documents").select("doc_id", "text")
-    return sharding.shard_by_slots(docs).select(
+    maps = new_folder(spark, "shard-maps")
+    placed = sharding.shard_by_slots(docs, maps)
+    edited = sharding.edit_map(spark, maps, 25).select("virtual_slot", F.col("shard").alias("shard_version_2"))
+    return placed.join(F.broadcast(edited), "virtual_slot").select(
         F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("bytes").alias("law"), "shard", "slot",
-        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot",
+        F.lit(None).cast("int").alias("grown_shard"), "virtual_slot", "shard_version_2",
     )
 
 

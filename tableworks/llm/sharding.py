@@ -9,9 +9,10 @@ The map has at most ``slots`` rows, a parameter, so it is made on the driver and
 broadcast; nothing that grows with the data is.  A slot holds one part in
 thousands of the keys, so numbering rows inside a slot is bounded work.
 
-NULL keys are one key.  NULL texts have no bytes and checksum 0.  Repeated rows all
-count and get places of their own.  An empty table gives an empty result; shards
-without rows are allowed.
+Rows without a key go by a hash of their text.  The law is near equal bytes; records go by
+their key, so equal texts under different keys may lie in different shards.  NULL texts
+have no bytes and checksum 0.  Repeated rows all count and get places of their own.  An
+empty table gives an empty result; shards without rows are allowed.
 """
 
 from __future__ import annotations
@@ -32,7 +33,7 @@ def sized(documents: DataFrame, key: str = "doc_id", text: str = "text", slots:
     return documents.select(
         F.col(key).alias("key"), (F.octet_length(body) + OVERHEAD).cast("long").alias("size"),
         F.crc32(F.encode(body, "utf-8")).alias("text_crc32"),
-        F.pmod(bucket(key, seed), F.lit(slots)).alias("virtual_slot"),
+        F.pmod(F.when(F.col(key).isNull(), F.xxhash64(body)).otherwise(bucket(key, seed)), F.lit(slots)).alias("virtual_slot"),
     )
 
 
@@ -114,20 +115,33 @@ def load_map(spark: SparkSession, path: str, version: int | None = None) -> Data
     return maps.filter(F.col("version") == wanted)
 
 
+def edit_map(spark: SparkSession, path: str, shards: int) -> DataFrame:
+    """The next version of the latest map under ``path``, rebalanced to ``shards`` and stored beside it."""
+    now = load_map(spark, path).collect()  # a row per slot
+    totals = [(r["virtual_slot"], r["bytes"], r["rows"]) for r in now]
+    placed = rebalance({r["virtual_slot"]: r["shard"] for r in now}, totals, shards)
+    version = max((r["version"] for r in now), default=0) + 1
+    store_map(map_frame(spark, placed, totals, version), path)
+    return load_map(spark, path, version)
+
+
 def shard_by_slots(
-    documents: DataFrame, key: str = "doc_id", text: str = "text", shards: int = 24,
-    slots: int = SLOTS, maps: str | None = None, version: int = 1,
+    documents: DataFrame, maps: str, key: str = "doc_id", text: str = "text", shards: int = 24,
+    slots: int = SLOTS, version: int = 1,
 ) -> DataFrame:
     """``key, size, text_crc32, virtual_slot, shard, slot``; ``slot`` counts the rows of a shard from 0.
 
-    ``maps``: a folder in which this version of the map is stored.
+    This version of the map is stored in the folder ``maps`` and read from there.
     """
     spark = documents.sparkSession
     records = sized(documents, key, text, slots)
     totals = [(r["virtual_slot"], r["bytes"], r["rows"]) for r in slot_totals(records).collect()]
-    table = map_frame(spark, make_map(totals, shards), totals, version)
-    if maps:
-        store_map(table, maps)
+    store_map(map_frame(spark, make_map(totals, shards), totals, version), maps)
+    return place(records, load_map(spark, maps, version))
+
+
+def place(records: DataFrame, table: DataFrame) -> DataFrame:
+    """Records of ``sized`` in the shards and places of a map; the map has a row per slot."""
     inside = Window.partitionBy("virtual_slot").orderBy("key", "text_crc32", "size")
     return (
         records.withColumn("at", F.row_number().over(inside))

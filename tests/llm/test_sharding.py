@@ -1,7 +1,8 @@
+import hashlib
 import random
 import zlib
 
-from tableworks.llm import sharding
+from tableworks.llm import queries, sharding
 
 
 def rows():
@@ -15,7 +16,7 @@ def frame(spark, data):
 
 
 def test_sizes_shards_and_places(spark, tmp_path):
-    got = sharding.shard_by_slots(frame(spark, rows()), shards=6, maps=str(tmp_path / "maps")).collect()
+    got = sharding.shard_by_slots(frame(spark, rows()), str(tmp_path / "maps"), shards=6).collect()
     body = lambda t: (t or "").encode()
     want = sorted((str(k), len(body(t)) + 8, zlib.crc32(body(t))) for k, t in rows())
     assert sorted((str(r.key), r["size"], r.text_crc32) for r in got) == want
@@ -51,5 +52,33 @@ def test_rebalancing_moves_whole_slots(spark, tmp_path):
     assert {x.virtual_slot: x.shard for x in sharding.load_map(spark, path, 1).collect()} == old
 
 
-def test_empty(spark):
-    assert sharding.shard_by_slots(frame(spark, []).limit(0)).collect() == []
+def test_query_against_a_plain_map(spark, tmp_path):
+    """Slots from the hash, the map from sorted totals, places by counting."""
+    frame(spark, rows()).select("doc_id", "text").write.parquet(f"{tmp_path}/documents.parquet")
+    got = queries.REGISTRY["op8_virtual_slots"](spark, str(tmp_path))
+    assert got.columns[:7] == ["doc_id", "size", "text_crc32", "law", "shard", "slot", "grown_shard"]
+    got = got.collect()
+    body = lambda t: (t or "").encode()
+    known = [(k, len(body(t)) + 8, zlib.crc32(body(t)), int(hashlib.md5(f"11:{k}".encode()).hexdigest()[:8], 16) % 4096) for k, t in rows() if k is not None]
+    lost = [(None, r["size"], r.text_crc32, r.virtual_slot) for r in got if r.doc_id is None]
+    assert sorted(x[1:3] for x in lost) == sorted((len(body(t)) + 8, zlib.crc32(body(t))) for k, t in rows() if k is None)
+    totals = {}
+    for _, size, _, v in known + lost:
+        totals.setdefault(v, [0, 0])
+        totals[v] = [totals[v][0] + size, totals[v][1] + 1]
+    load, placed = [0] * 24, {}
+    for v in sorted(totals, key=lambda v: (-totals[v][0], v)):
+        placed[v] = min(range(24), key=lambda s: (load[s], s))
+        load[placed[v]] += totals[v][0]
+    want, seen = [], [0] * 24
+    for v in sorted(totals):
+        for k, size, crc, _ in sorted((x for x in known + lost if x[3] == v), key=lambda x: (x[0] is not None, x[0] or 0, x[2], x[1])):
+            want.append((str(k), size, crc, placed[v], seen[placed[v]]))
+            seen[placed[v]] += 1
+    assert sorted((str(r.doc_id), r["size"], r.text_crc32, r.shard, r.slot) for r in got) == sorted(want)
+    moved = {r.virtual_slot: (r.shard, r.shard_version_2) for r in got}
+    assert {b for a, b in moved.values() if a != b} == {24}
+
+
+def test_empty(spark, tmp_path):
+    assert sharding.shard_by_slots(frame(spark, []).limit(0), str(tmp_path / "maps")).collect() == []
