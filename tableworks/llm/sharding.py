@@ -74,19 +74,21 @@ def rebalance(old: dict[int, int], totals: list[tuple[int, int, int]], shards: i
         new[slot] = shard
         load[shard] += sizes[slot]
         heapq.heappush(held[shard], (sizes[slot], slot))
-    while True:
-        full = max(range(shards), key=lambda s: (load[s], -s))
+    # A shard that can't be relieved, such as one with a single large slot, is left; loads of
+    # the thinnest only rise, so it never can again.
+    giving = set(range(shards))
+    while giving:
+        full = max(giving, key=lambda s: (load[s], -s))
         thin = min(range(shards), key=lambda s: (load[s], s))
-        if not held[full]:
-            return new
-        size, slot = held[full][0]
-        if load[thin] + size >= load[full]:
-            return new
-        heapq.heappop(held[full])
+        if not held[full] or load[thin] + held[full][0][0] >= load[full]:
+            giving.remove(full)
+            continue
+        size, slot = heapq.heappop(held[full])
         heapq.heappush(held[thin], (size, slot))
         load[full] -= size
         load[thin] += size
         new[slot] = thin
+    return new
 
 
 def map_frame(spark: SparkSession, placed: dict[int, int], totals: list[tuple[int, int, int]], version: int) -> DataFrame:
