@@ -25,6 +25,8 @@ from tableworks.functions.hashing import bucket
 
 SLOTS = 4096
 OVERHEAD = 8
+#: Shards that differ by less are left as they are by an edit.
+SLACK = 0.01
 
 
 def sized(documents: DataFrame, key: str = "doc_id", text: str = "text", slots: int = SLOTS, seed: int = 11) -> DataFrame:
@@ -80,7 +82,7 @@ def rebalance(old: dict[int, int], totals: list[tuple[int, int, int]], shards: i
     while giving:
         full = max(giving, key=lambda s: (load[s], -s))
         thin = min(range(shards), key=lambda s: (load[s], s))
-        if not held[full] or load[thin] + held[full][0][0] >= load[full]:
+        if not held[full] or load[thin] + held[full][0][0] >= load[full] or load[thin] >= (1 - SLACK) * load[full]:
             giving.remove(full)
             continue
         size, slot = heapq.heappop(held[full])
