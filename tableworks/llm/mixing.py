@@ -191,8 +191,9 @@ def mixed_documents(documents: DataFrame, text: str = "text", source: str = "sou
     joined = named.select("own", "name").join(plans, "name")
     equal = Window.partitionBy("name").orderBy("name")
     one = joined.withColumn("plan", F.try_element_at("plans", F.row_number().over(equal)))
+    # Texts are cut to words below the explode, once for each document.
     tokens = F.regexp_extract_all(F.col("own")[text], F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    one = one.select("own", tokens.alias("tokens"), F.explode("plan.rounds").alias("round"))
+    one = one.withColumn("tokens", tokens).withColumn("round", F.explode("plan.rounds"))
     cut = F.array_join(
         F.flatten(F.transform("round.parts", lambda p: F.slice("tokens", (p["from_word"] + 1).cast("int"), p["n"].cast("int")))), ""
     )
