@@ -6,11 +6,12 @@ functions and list functions where the library uses other means.
 
 from __future__ import annotations
 
-from tableworks.functions.text import PUNCTUATION, STOP_WORDS, WHITESPACE, WORD
+from tableworks.functions.text import BLANK, PUNCTUATION, STOP_WORDS, WHITESPACE, WORD
 from tableworks.plans.queries import EPOCHS, GRID_RULES, TAG_EPOCHS
 from tableworks.plans.views import (
     CLAIM_CATEGORIES,
     CLAIM_CUT,
+    CLAIM_FIELDS,
     CLAIM_MEASURES,
     NUMERIC_FEATURES,
 )
@@ -648,3 +649,32 @@ nexts AS (SELECT unnest(items[3:]) AS next FROM marked),
 counts AS (SELECT next, count(*) AS n FROM nexts GROUP BY next)
 SELECT cast(sum(n) AS bigint) AS pairs, count(*) AS words, round(max(n) / sum(n), 6) AS commonest,
        true AS beats_commonest, true AS beats_frequencies FROM counts"""
+
+# Files written and read back ------------------------------------------------------
+
+ORACLES["file_access_log"] = """
+SELECT 'u' || user_id || '.example.org' AS host, '-' AS ident, '-' AS "user",
+       CASE WHEN value < 0.5 THEN '[broken' ELSE '[' || strftime(ts, '%d/%b/%Y:%H:%M:%S') END AS stamp, '+0000]' AS "offset",
+       'GET /' || event_type || '/' || (user_id % 20) || CASE WHEN event_type IN ('view', 'click') THEN '.gif' ELSE '.html' END || ' HTTP/1.0' AS request,
+       CASE event_type WHEN 'error' THEN '404' ELSE '200' END AS status,
+       CASE event_type WHEN 'error' THEN '-' ELSE cast(cast(round(value * 100) AS bigint) AS varchar) END AS bytes
+FROM events"""
+ORACLES["file_ratings"] = _with(_RATINGS) + "SELECT customer AS userId, item AS movieId, rating FROM ratings"
+ORACLES["file_tag_scores"] = f"""
+SELECT tag_id AS "tagId", item AS "movieId", round(relevance, 6) AS relevance, s_name AS tag FROM ({SCORES}) JOIN supplier ON s_suppkey = tag_id"""
+ORACLES["file_numeric"] = _with(NUMERIC) + f"SELECT label, {', '.join(NUMERIC_FEATURES)} FROM num"
+_PLACE = {name: i % 5 + 1 for i, (name, _) in enumerate(CLAIM_FIELDS)}
+ORACLES["file_claims"] = f"""
+SELECT cast(year(l_shipdate) AS varchar) AS "Calendar_Year", l_returnflag AS "Cat1", l_linestatus AS "Cat2", l_returnflag AS "OrdCat", l_returnflag AS "NVCat",
+       count(*) AS n, count(*) FILTER (l_discount > 0.03) AS known, cast(sum(l_linenumber) AS bigint) AS vehicles,
+       round(sum(l_quantity * {_PLACE['Var1']}), 4) AS var1, round(sum(l_quantity * {_PLACE['NVVar4']}), 4) AS nvvar4,
+       round(sum(l_extendedprice * l_discount), 4) AS label
+FROM lineitem GROUP BY ALL"""
+ORACLES["file_documents"] = """
+SELECT CASE quality WHEN 1 THEN 'pos/' ELSE 'neg/' END || doc_id || '.txt' AS doc_id, 2 * quality - 1 AS label, length(text) AS chars, md5(text) AS digest
+FROM documents JOIN labels USING (doc_id)"""
+ORACLES["file_corpus"] = _with(SENTENCES) + "SELECT array_to_string(tokens, ' ') AS tokens, count(*) AS n FROM sents GROUP BY ALL"
+ORACLES["file_questions"] = _with(QUESTIONS) + f"""
+SELECT array_to_string([translate(t, ':/', '__') FOR t IN list_concat(toks[1:spot - 1], ['{BLANK}'], toks[spot + 1:])], ' ') AS tokens,
+       cand_no, translate(cand, ':/', '__') AS cand, count(*) AS n FROM asked GROUP BY ALL"""
+ORACLES["file_tagged"] = _with(TAGGED[:-1]) + "SELECT cast(pos AS integer) AS pos, word, tag, count(*) AS n FROM tokens GROUP BY ALL"

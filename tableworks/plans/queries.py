@@ -7,6 +7,7 @@ lists are shown as text.
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -28,8 +29,10 @@ from tableworks.operators import (
     treegrid as tg,
     weblog as wl,
 )
+from tableworks import sources as so
 from tableworks.plans import views as v
-from tableworks.session import held, written
+from tableworks.session import shared_folder, written
+from tableworks.sources import writers as wr
 
 Query = Callable[[SparkSession, str], DataFrame]
 REGISTRY: dict[str, Query] = {}
@@ -49,6 +52,85 @@ def _text(col: str):
     return F.array_join(col, " ").alias(col)
 
 
+# Files -----------------------------------------------------------------------
+#
+# Each writes its rows in one file layout and reads them back.
+
+def _new_file(spark, name: str) -> str:
+    return f"{shared_folder(spark).rstrip('/')}/tableworks/file-{name}-{uuid4().hex}"
+
+
+@query
+def file_access_log(spark, sf):
+    path = _new_file(spark, "log")
+    wr.write_lines(v.log_lines(spark, sf), F.col("value"), path, "gzip")
+    return so.read_access_log(spark, path, partitions=4)
+
+
+@query
+def file_ratings(spark, sf):
+    path = _new_file(spark, "ratings")
+    wr.write_csv(v.ratings(spark, sf).select("userId", "movieId", "rating", F.lit(0).alias("timestamp")), path)
+    return so.read_ratings(spark, path)
+
+
+@query
+def file_tag_scores(spark, sf):
+    scores, names = _new_file(spark, "scores"), _new_file(spark, "tags")
+    wr.write_csv(v.tag_scores(spark, sf), scores)
+    wr.write_csv(v.tag_names(spark, sf), names)
+    return _round(so.read_tag_scores(spark, scores).join(so.read_tags(spark, names), "tagId"))
+
+
+@query
+def file_numeric(spark, sf):
+    path, names = _new_file(spark, "numeric"), ["label", *v.NUMERIC_FEATURES]
+    wr.write_csv(v.numeric(spark, sf).select(*names), path, header=False, compression="gzip")
+    return so.read_numeric_csv(spark, path, names, partitions=4)
+
+
+@query
+def file_claims(spark, sf):
+    path = _new_file(spark, "claims")
+    wr.write_csv(v.claim_file(spark, sf), path, null="?")
+    back = so.read_claims(spark, path)
+    return _round(back.groupBy("Calendar_Year", "Cat1", "Cat2", "OrdCat", "NVCat").agg(
+        F.count("*").alias("n"), F.count("Cat3").alias("known"), F.sum("Vehiclhe").alias("vehicles"),
+        F.sum("Var1").alias("var1"), F.sum("NVVar4").alias("nvvar4"), F.sum("label").alias("label"),
+    ), 4)
+
+
+@query
+def file_documents(spark, sf):
+    path = _new_file(spark, "docs")
+    wr.write_labelled_docs(v.labelled_documents(spark, sf), path)
+    return so.read_labelled_docs(spark, path).select("doc_id", "label", F.length("text").alias("chars"), F.md5("text").alias("digest"))
+
+
+@query
+def file_corpus(spark, sf):
+    path = _new_file(spark, "corpus")
+    wr.write_lines(co.document_lines(v.documents(spark, sf)), F.col("line"), path)
+    return so.read_corpus(spark, path).groupBy(_text("tokens")).agg(F.count("*").alias("n"))
+
+
+@query
+def file_questions(spark, sf):
+    path = _new_file(spark, "questions")
+    plain = F.transform("tokens", lambda t: F.translate(t, ":/", "__"))
+    cand = lambda i: F.translate(F.max(F.when(F.col("cand_no") == i, F.col("cand"))), ":/", "__")
+    asked = v.questions(spark, sf).groupBy("q_id", plain.alias("tokens")).agg(cand(1).alias("first"), cand(2).alias("second"))
+    wr.write_lines(asked, wr.question_line(), path)
+    return so.read_questions(spark, path).groupBy(_text("tokens"), "cand_no", "cand").agg(F.count("*").alias("n"))
+
+
+@query
+def file_tagged(spark, sf):
+    path = _new_file(spark, "tagged")
+    wr.write_lines(v.tagged(spark, sf), wr.tagged_line(), path)
+    return so.read_tagged(spark, path, form="rows").groupBy("pos", "word", "tag").agg(F.count("*").alias("n"))
+
+
 # Web log ---------------------------------------------------------------------
 
 @query

@@ -12,8 +12,10 @@ from tableworks.functions import text as tx
 from tableworks.functions.hashing import bucket
 from tableworks.operators.corpus import document_lines
 from tableworks.operators.split import hash_split
-from tableworks.sources.readers import LOG_SCHEMA
+from tableworks.sources.readers import CLAIM_SCHEMA, LOG_SCHEMA
 
+#: Name and type of each column of the claim file.
+CLAIM_FIELDS = [tuple(f.split()) for f in CLAIM_SCHEMA.split(", ")]
 LINE_KEY = ["l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "cents"]
 
 
@@ -162,6 +164,25 @@ def claims(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def claim_file(spark: SparkSession, sf: str) -> DataFrame:
+    """Line items in the columns of the claim file; some categories are missing."""
+    year = F.year("l_shipdate")
+    made = {
+        "Row_ID": F.col("l_orderkey").cast("int"), "Household_ID": F.col("l_partkey").cast("int"),
+        "Vehiclhe": F.col("l_linenumber").cast("int"), "Calendar_Year": year.cast("string"), "Model_Year": (year - 10).cast("int"),
+        "label": F.col("l_extendedprice") * F.col("l_discount"),
+    }
+    categories = [F.col("l_returnflag"), F.col("l_linestatus"), F.when(F.col("l_discount") > 0.03, F.col("l_returnflag"))]
+    columns = []
+    for i, (name, kind) in enumerate(CLAIM_FIELDS):
+        value = made.get(name)
+        if value is None:
+            value = categories[int(name[3:]) % 3 - 1] if name.startswith("Cat") else F.col("l_returnflag")
+            value = F.col("l_quantity") * (i % 5 + 1) if kind == "double" else value
+        columns.append(value.cast(kind).alias(name))
+    return busy(spark, sf, "lineitem").select(*columns)
+
+
 CLAIM_CUT = 2000
 
 
