@@ -678,3 +678,80 @@ ORACLES["file_questions"] = _with(QUESTIONS) + f"""
 SELECT array_to_string([translate(t, ':/', '__') FOR t IN list_concat(toks[1:spot - 1], ['{BLANK}'], toks[spot + 1:])], ' ') AS tokens,
        cand_no, translate(cand, ':/', '__') AS cand, count(*) AS n FROM asked GROUP BY ALL"""
 ORACLES["file_tagged"] = _with(TAGGED[:-1]) + "SELECT cast(pos AS integer) AS pos, word, tag, count(*) AS n FROM tokens GROUP BY ALL"
+
+# Tagging with transitions: the perceptron's epochs and Viterbi, row by row ----------
+
+
+def _viterbi(name: str, tokens: str, words: str, pairs: str) -> list[tuple[str, str, bool]]:
+    """Best tags of ``tokens`` under weights ``words`` (word, tag, weight) and ``pairs`` (prev_tag, tag, weight).
+
+    ``{name}`` is ``sent_id, pos, word, tag``. The scores of a position follow from those of
+    the one before it; afterwards the way back is read from the last position.
+    """
+    moves = ", ".join(
+        "[" + ", ".join(f"coalesce((SELECT weight FROM {pairs} WHERE prev_tag = '{a}' AND tag = '{b}'), 0)" for b in TAGS) + "]"
+        for a in ("None", *TAGS)
+    )
+    emitted = ", ".join(f"coalesce(sum(weight) FILTER (tag = '{t}'), 0)" for t in TAGS)
+    ways = "list_transform(range(1, 6), lambda p: w.s[p] + m.m[p + 1][t])"
+    return [
+        (f"{name}_m", f"SELECT [{moves}] AS m", False),
+        (f"{name}_e", f"SELECT word, [{emitted}] AS e FROM {words} GROUP BY word", False),
+        (f"{name}_t", f"SELECT t.sent_id, t.pos, t.word, coalesce(e.e, [0, 0, 0, 0, 0]) AS e FROM {tokens} t LEFT JOIN {name}_e e USING (word)", False),
+        (f"{name}_w", f"""
+SELECT x.sent_id, x.pos, list_transform(range(1, 6), lambda t: m.m[1][t] + x.e[t]) AS s, [0, 0, 0, 0, 0]::bigint[] AS back
+FROM {name}_t x, {name}_m m WHERE x.pos = 0
+UNION ALL
+SELECT x.sent_id, x.pos, list_transform(range(1, 6), lambda t: list_max({ways}) + x.e[t]),
+       list_transform(range(1, 6), lambda t: list_position({ways}, list_max({ways}))::bigint)
+FROM {name}_w w JOIN {name}_t x ON x.sent_id = w.sent_id AND x.pos = w.pos + 1, {name}_m m""", True),
+        (f"{name}_all", f"SELECT *, max(pos) OVER (PARTITION BY sent_id) AS last FROM {name}_w", False),
+        (f"{name}_b", f"""
+SELECT sent_id, pos, list_position(s, list_max(s))::bigint AS slot FROM {name}_all WHERE pos = last
+UNION ALL
+SELECT b.sent_id, b.pos - 1, w.back[b.slot] FROM {name}_b b JOIN {name}_all w ON w.sent_id = b.sent_id AND w.pos = b.pos WHERE b.pos > 0""", True),
+        (name, f"SELECT b.sent_id, b.pos, t.word, {TAGS!r}[b.slot] AS tag FROM {name}_b b JOIN {name}_t t USING (sent_id, pos)", False),
+    ]
+
+
+def _structured(epochs: int) -> list[tuple[str, str, bool]]:
+    """Weights ``words{epochs}`` and ``pairs{epochs}`` of the structured perceptron on part 0."""
+    before = "coalesce(lag(tag) OVER (PARTITION BY sent_id ORDER BY pos), 'None') AS prev_tag"
+    parts = [(n, sql, False) for n, sql in TAGGED]
+    parts += [
+        ("gold", f"SELECT sent_id, pos, word, tag, {before} FROM tokens WHERE part = 0", False),
+        ("known_words", "SELECT DISTINCT word, tag FROM gold", False),
+        ("known_pairs", "SELECT DISTINCT prev_tag, tag FROM gold", False),
+        ("words0", "SELECT word, tag, 0 AS weight FROM gold WHERE false", False),
+        ("pairs0", "SELECT prev_tag, tag, 0 AS weight FROM gold WHERE false", False),
+    ]
+    for e in range(1, epochs + 1):
+        if e == 1:
+            parts.append(("found1", f"SELECT sent_id, pos, word, '{TAGS[0]}' AS tag FROM gold", False))
+        else:
+            parts += _viterbi(f"found{e}", "gold", f"words{e - 1}", f"pairs{e - 1}")
+        parts += [
+            (f"wrong{e}", f"SELECT DISTINCT g.sent_id FROM gold g JOIN found{e} f USING (sent_id, pos) WHERE g.tag <> f.tag", False),
+            (f"moved{e}", f"""
+SELECT word, tag, prev_tag, 1 AS n FROM gold WHERE sent_id IN (SELECT sent_id FROM wrong{e})
+UNION ALL SELECT word, tag, {before}, -1 FROM found{e} WHERE sent_id IN (SELECT sent_id FROM wrong{e})""", False),
+        ]
+        for kind, key in (("words", "word"), ("pairs", "prev_tag")):
+            parts.append((f"{kind}{e}", f"""
+SELECT {key}, tag, sum(weight) AS weight FROM (
+  SELECT {key}, tag, weight FROM {kind}{e - 1}
+  UNION ALL SELECT {key}, tag, sum(n) FROM moved{e} JOIN known_{kind} USING ({key}, tag) GROUP BY ALL) GROUP BY ALL HAVING sum(weight) <> 0""", False))
+    return parts
+
+
+def _recursive(parts: list[tuple[str, str, bool]]) -> str:
+    return "WITH RECURSIVE " + ",\n".join(f"{n} AS {'' if again else 'MATERIALIZED '}({sql})" for n, sql, again in parts) + "\n"
+
+
+ORACLES["tagger_transition_weights"] = _recursive(_structured(TAG_EPOCHS)) + f"""
+SELECT 'word_tag' AS kind, word AS a, tag AS b, cast(weight AS bigint) AS weight FROM words{TAG_EPOCHS}
+UNION ALL SELECT 'tag_tag', prev_tag, tag, cast(weight AS bigint) FROM pairs{TAG_EPOCHS}"""
+ORACLES["tagger_viterbi"] = _recursive([
+    *_structured(TAG_EPOCHS), ("asked_tokens", "SELECT sent_id, pos, word FROM tokens WHERE part = 1", False),
+    *_viterbi("answer", "asked_tokens", f"words{TAG_EPOCHS}", f"pairs{TAG_EPOCHS}"),
+]) + "SELECT sent_id, cast(pos AS integer) AS pos, word, tag FROM answer"
