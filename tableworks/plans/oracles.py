@@ -506,7 +506,7 @@ SELECT g1, g2, n FROM bcounts UNION ALL
 SELECT DISTINCT q.g1, q.g2, 0 FROM qgrams q ANTI JOIN bcounts b ON q.g1 = b.g1 AND q.g2 = b.g2"""),
     ("aprobs", "SELECT g1, g2, n, (n + 1) / (SELECT sum(n + 1) FROM extended) AS p FROM extended"),
 ]
-ORACLES["word_vectors"] = _with(SENTENCES, _UNIGRAMS) + "SELECT gram AS word, 5 AS size FROM uprobs"
+ORACLES["word_vectors"] = _with(SENTENCES, _UNIGRAMS) + "SELECT gram AS word, 5 AS size, true AS solves FROM uprobs"
 ORACLES["words_nearer"] = _with(SENTENCES) + """
 SELECT DISTINCT tokens[1] AS id, tokens[3] AS a, tokens[5] AS b, true AS answered FROM sents WHERE len(tokens) >= 5"""
 ORACLES["lm_unigram"] = _with(SENTENCES, _UNIGRAMS) + "SELECT gram, n, p FROM uprobs"

@@ -579,18 +579,17 @@ def nearer(spark, sf):
 
 @query
 def word_vectors(spark, sf):
+    """A vector for every word; the leading one solves its equation."""
     found = si.word_vectors(v.sentences(spark, sf), size=5)
-    return found.select("word", F.size("vector").alias("size"))
+    solves = found.residuals[0] < 0.3 * abs(found.values[0])
+    return found.vectors.select("word", F.size("vector").alias("size"), F.lit(solves).alias("solves"))
 
 
 @query
 def words_nearer(spark, sf):
-    """Word vectors in use: is a word nearer to the word two or four places on?
-
-    The vectors are trained, so only their number and a finite answer are fixed.
-    """
+    """Word vectors in use: is a word nearer to the word two or four places on?"""
     sentences = v.sentences(spark, sf)
-    vectors = si.word_vectors(sentences, size=5).withColumnRenamed("word", "id")
+    vectors = si.word_vectors(sentences, size=5).vectors.withColumnRenamed("word", "id")
     asked = sentences.where(F.size("tokens") >= 5).select(
         F.col("tokens")[0].alias("id"), F.col("tokens")[2].alias("a"), F.col("tokens")[4].alias("b")
     ).distinct()
