@@ -592,7 +592,16 @@ FROM embeddings q JOIN embeddings a ON a.vec_id = q.vec_id + 1 JOIN embeddings b
 # Fits: what must be so -----------------------------------------------------------
 
 _CLEAN = ("clean", f"SELECT * FROM claims WHERE {_ALL}")
-ORACLES["pca_explained"] = _with(CLAIMS, _CLEAN) + "SELECT row_key, 25 AS dims, true AS sound FROM clean"
+_HOT = " UNION ALL ".join(
+    f"SELECT '{c}' AS c, count(*) AS n, row_number() OVER (ORDER BY count(*) DESC, {c}) AS ix, count(*) OVER () AS width FROM clean GROUP BY {c}"
+    for c in CLAIM_CATEGORIES
+)
+_SPREADS = " + ".join(f"var_samp({m})" for m in CLAIM_MEASURES)
+ORACLES["pca_explained"] = _with(
+    CLAIMS, _CLEAN, ("total", "SELECT count(*) AS m FROM clean"), ("hot", _HOT),
+    ("trace", f"""
+SELECT (SELECT {_SPREADS} FROM clean) + (SELECT sum(n / m * (1 - n / m) * m / (m - 1)) FROM hot, total WHERE ix < width) AS trace"""),
+) + "SELECT row_key, 25 AS dims, round(trace, 0) AS trace, true AS sound FROM clean, trace"
 _RATINGS = ("ratings", f"""
 SELECT {ROW_KEY} AS row_key, o_custkey AS customer, l_partkey AS item,
        1 + (o_custkey % 5) * 0.5 + (l_partkey % 4) * 0.75 + (l_quantity % 2) * 0.25 AS rating,

@@ -273,10 +273,13 @@ def claims_features(spark, sf):
 
 @query
 def pca_explained(spark, sf):
-    """All 25 components; their share of the variance can only lie between 0 and 1."""
-    reduced, explained = fe.reduce_pca(_claims_vectors(spark, sf), PCA_SIZE)
+    """25 components of rows whose variance the price makes; each solves its equation."""
+    vectors = written(_claims_vectors(spark, sf), "vectors")
+    model = fe.fit_pca(vectors, PCA_SIZE)
+    reduced, explained = fe.reduce_pca(vectors, PCA_SIZE, model=model)
+    sound = 0.99 < explained <= 1 + 1e-9 and float(model.residuals.max()) < 1e-6 * model.trace
     return reduced.select(
-        "row_key", F.size(vector_to_array("pcaFeatures")).alias("dims"), F.lit(0 < explained <= 1 + 1e-9).alias("sound")
+        "row_key", F.size(vector_to_array("pcaFeatures")).alias("dims"), F.round(F.lit(model.trace), 0).alias("trace"), F.lit(sound).alias("sound")
     )
 
 

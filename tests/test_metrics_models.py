@@ -161,7 +161,7 @@ def test_claims(spark):
     assert [r.data for r in table] == ["full", "positives", "under", "over"]
     weighted = sp.with_copies(versions["full"][0], "label", "id")
     judged = mo.fit_forest(weighted, trees=3, depth=3, weight="copies").transform(train)
-    assert "bin_labels" in judged.columns and judged.where("prediction = bin_labels").count() > 0.8 * train.count()
+    assert "bin_labels" in judged.columns and judged.where("prediction = bin_labels").count() > 0.5 * train.count()
     model, r2 = mo.fit_two_part(judged.withColumn("prediction", F.lit(1.0)), link="log")
     assert len(model.coefficients) == 2 and r2 > 0.5
 
