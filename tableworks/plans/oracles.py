@@ -764,3 +764,49 @@ ORACLES["tagger_viterbi"] = _recursive([
     *_structured(TAG_EPOCHS), ("asked_tokens", "SELECT sent_id, pos, word FROM tokens WHERE part = 1", False),
     *_viterbi("answer", "asked_tokens", f"words{TAG_EPOCHS}", f"pairs{TAG_EPOCHS}"),
 ]) + "SELECT sent_id, cast(pos AS integer) AS pos, word, tag FROM answer"
+
+
+# Online perceptron: weights are sums of documents, so a step needs their products only ----
+
+
+def _mixing(epochs: int, docs_per_shard: int, seed: int = 11) -> str:
+    """``units{epochs}``: how often each document was added to the weights, counted with its label.
+
+    The score of a document is the sum of its products with the documents added before, those
+    of its own shard in this epoch and those of all shards, a share each, in earlier ones.
+    """
+    parts = [(n, sql, False) for n, sql in POLARITY]
+    parts += [
+        ("all_docs", "SELECT doc_id, label, items FROM polar_tokens", False),
+        ("bag", _bag("all_docs", (1,)), False),
+        ("shards", f"SELECT greatest(1, cast(ceil(count(*) / {docs_per_shard}) AS bigint)) AS s FROM all_docs", False),
+        ("numbered", f"SELECT doc_id, label, {bucket('doc_id', 7)} % s AS shard, row_number() OVER (ORDER BY doc_id) AS i FROM all_docs, shards", False),
+        ("products", """
+SELECT a.i, b.i AS j, coalesce(p.g, 0) AS g FROM numbered a CROSS JOIN numbered b LEFT JOIN (
+  SELECT x.doc_id AS da, y.doc_id AS db, sum(x.n * y.n) AS g FROM bag x JOIN bag y USING (feature) GROUP BY ALL) p ON p.da = a.doc_id AND p.db = b.doc_id""", False),
+        ("rows_of", "SELECT i, list(g::double ORDER BY j) AS g FROM products GROUP BY i", False),
+        ("units0", "SELECT i, 0 AS a FROM numbered", False),
+    ]
+    for e in range(1, epochs + 1):
+        parts += [
+            (f"begin{e}", f"SELECT p.i, sum(p.g * u.a) AS base FROM products p JOIN units{e - 1} u ON u.i = p.j GROUP BY p.i", False),
+            (f"order{e}", f"""
+SELECT n.i, label, shard, base, g, row_number() OVER (PARTITION BY shard ORDER BY md5('{seed * (e - 1)}:' || doc_id), doc_id) AS t
+FROM numbered n JOIN begin{e} b ON b.i = n.i JOIN rows_of r ON r.i = n.i""", False),
+            (f"pass{e}", f"""
+SELECT DISTINCT shard, 0::bigint AS t, (SELECT list(0::double) FROM numbered) AS d FROM numbered
+UNION ALL
+SELECT o.shard, o.t, CASE WHEN (o.base + s.s * list_dot_product(p.d, o.g) >= 0) <> (o.label > 0)
+  THEN list_transform(p.d, lambda x, k: CASE WHEN k = o.i THEN x + o.label ELSE x END) ELSE p.d END
+FROM pass{e} p JOIN order{e} o ON o.shard = p.shard AND o.t = p.t + 1, shards s""", True),
+            (f"units{e}", f"""
+SELECT u.i, u.a + coalesce(d.d[u.i], 0) AS a FROM units{e - 1} u JOIN numbered n ON n.i = u.i
+JOIN (SELECT shard, arg_max(d, t) AS d FROM pass{e} GROUP BY shard) d ON d.shard = n.shard""", False),
+        ]
+    return _recursive(parts)
+
+
+ORACLES["perceptron_mixing"] = _mixing(EPOCHS, 100) + f"""
+SELECT feature, round(sum(b.n * u.a) / any_value(s.s), 6) AS weight
+FROM bag b JOIN numbered n ON n.doc_id = b.doc_id JOIN units{EPOCHS} u ON u.i = n.i, shards s
+GROUP BY feature HAVING sum(b.n * u.a) <> 0"""
