@@ -145,7 +145,7 @@ def block_pieces(placed: DataFrame, sources: DataFrame, block: int = BLOCK_WORDS
 
 
 def mixed(documents: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id",
-          block: int = BLOCK_WORDS, seed: int = 23):
+          block: int = BLOCK_WORDS, seed: int = 23, shard_slots: int = 4096):
     """``(documents with source figures and start, slots joined with their pieces)``."""
     folder = new_folder(documents.sparkSession, "mix")
     sizes = stored(word_sizes(documents, text, source, key, seed), f"{folder}/sizes")
@@ -153,7 +153,7 @@ def mixed(documents: DataFrame, text: str = "text", source: str = "source", key:
     placed = offsets(sizes)
     pieces = block_pieces(placed, sources, block)
     # Both sides grow with the words and neither has a hot key: never broadcast one.
-    taken = mix_plan(sources).join(pieces.hint("merge"), ["number", "block"])
+    taken = mix_plan(sources, shard_slots).join(pieces.hint("merge"), ["number", "block"])
     s = sources.select(F.col("source").alias("_source"), "source_size", "target")
     docs = placed.join(s, F.col("source").eqNullSafe(F.col("_source"))).drop("_source")
     return docs, taken
@@ -171,30 +171,70 @@ def taken_words(documents: DataFrame, **names) -> DataFrame:
     )
 
 
+def _dealt(documents: DataFrame, text: str, grouped: DataFrame) -> DataFrame:
+    """``own, tokens, plan`` of each row that the mix takes something of.
+
+    ``grouped`` makes one ``plan`` of the pieces of a key and start.  Rows are known by their
+    key and a hash of all columns; equal rows are dealt the plans of their name by number.
+    """
+    plans = grouped.groupBy(F.col("key").alias("name")).agg(F.array_sort(F.collect_list(F.struct("start", "plan"))).alias("plans"))
+    joined = documents.select("own", "name").join(plans, "name")
+    equal = Window.partitionBy("name").orderBy("name")
+    one = joined.withColumn("plan", F.try_element_at("plans", F.row_number().over(equal))["plan"]).filter("plan is not null")
+    # Texts are cut to words below the explode, once for each document.
+    tokens = F.regexp_extract_all(F.col("own")[text], F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
+    return one.select("own", "plan", tokens.alias("tokens"))
+
+
+def _named(documents: DataFrame, text: str, source: str, key: str) -> DataFrame:
+    """The caller's row as one struct, so that columns may have any name, and what the mix works on."""
+    columns = [F.col(f"`{c}`") for c in documents.columns]
+    name = F.concat_ws(":", F.col(f"`{key}`").cast("string"), F.xxhash64(*columns).cast("string"))
+    return documents.select(
+        F.struct(*columns).alias("own"), name.alias("name"), F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").alias("source")
+    )
+
+
+def _words(piece: Column) -> Column:
+    return F.slice("tokens", (piece["from_word"] + 1).cast("int"), piece["n"].cast("int"))
+
+
 def mixed_documents(documents: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id") -> DataFrame:
     """The mix as documents: the columns of ``documents``, a row for each round of a
     document, its text cut to the words that the round takes (with the white space
-    that follows them).  Documents without words give no row.
-
-    The caller's row travels as one struct, so columns may have any name."""
-    columns = documents.columns
-    # Rows are known by their key and a hash of all columns; equal rows are dealt by number.
-    own = F.struct(*[F.col(f"`{c}`") for c in columns]).alias("own")
-    name = F.concat_ws(":", F.col(f"`{key}`").cast("string"), F.xxhash64(*[F.col(f"`{c}`") for c in columns]).cast("string"))
-    named = documents.select(own, name.alias("name"), F.col(f"`{text}`").alias("text"), F.col(f"`{source}`").alias("source"))
+    that follows them).  Documents without words give no row."""
+    named = _named(documents, text, source, key)
     _, taken = mixed(named, "text", "source", "name")
     rounds = taken.groupBy("key", "start", "round").agg(
         F.array_sort(F.collect_list(F.struct("from_word", "n"))).alias("parts")
     )
-    copies = rounds.groupBy("key", "start").agg(F.array_sort(F.collect_list(F.struct("round", "parts"))).alias("rounds"))
-    plans = copies.groupBy(F.col("key").alias("name")).agg(F.array_sort(F.collect_list(F.struct("start", "rounds"))).alias("plans"))
-    joined = named.select("own", "name").join(plans, "name")
-    equal = Window.partitionBy("name").orderBy("name")
-    one = joined.withColumn("plan", F.try_element_at("plans", F.row_number().over(equal)))
-    # Texts are cut to words below the explode, once for each document.
-    tokens = F.regexp_extract_all(F.col("own")[text], F.lit(r"[^\x20\x09-\x0D]+[\x20\x09-\x0D]*"), F.lit(0))
-    one = one.withColumn("tokens", tokens).withColumn("round", F.explode("plan.rounds"))
-    cut = F.array_join(
-        F.flatten(F.transform("round.parts", lambda p: F.slice("tokens", (p["from_word"] + 1).cast("int"), p["n"].cast("int")))), ""
+    copies = rounds.groupBy("key", "start").agg(F.array_sort(F.collect_list(F.struct("round", "parts"))).alias("plan"))
+    one = _dealt(named, text, copies).withColumn("round", F.explode("plan"))
+    cut = F.array_join(F.flatten(F.transform("round.parts", _words)), "")
+    return one.select(*[(cut if c == text else F.col("own")[c]).alias(c) for c in documents.columns])
+
+
+def mixed_shards(documents: DataFrame, text: str = "text", source: str = "source", key: str = "doc_id",
+                 shard_slots: int = 4096) -> DataFrame:
+    """The mix in its order: ``shard, place, at, key, source, text``.
+
+    A shard is a run of slots, ``place`` a slot in it with one block; ``at`` orders the pieces
+    of documents inside the block.  How many slots of a shard a source gets is drawn by the
+    permutation of all slots.
+    """
+    named = _named(documents, text, source, key)
+    _, taken = mixed(named, "text", "source", "name", shard_slots=shard_slots)
+    slots = taken.groupBy("key", "start").agg(
+        F.array_sort(F.collect_list(F.struct("shard", "place", F.col("start").alias("at"), "from_word", "n"))).alias("plan")
+    )
+    one = _dealt(named, text, slots).withColumn("slot", F.explode("plan"))
+    return one.select(
+        "slot.shard", "slot.place", "slot.at", F.col("own")[key].alias("key"), F.col("own")[source].alias("source"),
+        F.array_join(_words(F.col("slot")), "").alias("text"),
     )
-    return one.select(*[(cut if c == text else F.col("own")[c]).alias(c) for c in columns])
+
+
+def write_shards(documents: DataFrame, path: str, **names) -> None:
+    """The mix as one folder for each shard, its rows in order."""
+    order = ["shard", "place", "at"]
+    mixed_shards(documents, **names).repartitionByRange(*order).sortWithinPartitions(*order).write.partitionBy("shard").parquet(path)

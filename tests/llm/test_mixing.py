@@ -95,3 +95,28 @@ def test_no_broadcast_of_slots(spark):
     plan = mixing.taken_words(frame(spark, documents()))._jdf.queryExecution().explainString(
         spark._jvm.org.apache.spark.sql.execution.ExplainMode.fromString("simple"))
     assert "Python" not in plan and "SortMergeJoin" in plan
+
+
+def test_shards_keep_the_order_of_the_mix(spark, tmp_path):
+    """Every slot is one block of its source's words, and shards hold sources in proportion."""
+    rows = documents(3)
+    df = frame(spark, rows)
+    mixing.write_shards(df, str(tmp_path / "mix"), shard_slots=16)
+    out = spark.read.parquet(str(tmp_path / "mix")).collect()
+    slots = {}
+    for r in sorted(out, key=lambda r: (r.shard, r.place, r["at"])):
+        slots.setdefault((r.shard, r.place), []).append(r)
+    assert all(len({r.source for r in s}) == 1 for s in slots.values())
+    words = {at: sum(len(WORD.findall(r.text)) for r in s) for at, s in slots.items()}
+    assert max(words.values()) == mixing.BLOCK_WORDS
+    shards = sorted({s for s, _ in slots})
+    assert shards == list(range(len(shards))) and len(shards) > 3
+    assert all({p for s, p in slots if s == k} == set(range(16)) for k in shards[:-1])
+    taken = sum(r.taken for r in mixing.taken_words(df).collect())
+    assert abs(sum(words.values()) - taken) <= 8 * mixing.BLOCK_WORDS
+    texts = {}
+    for k, t, _ in rows:
+        texts.setdefault(str(k), []).append(t or "")
+    assert all(any(r.text in t for t in texts[str(r.key)]) for r in out)
+    mixing.write_shards(df.repartition(3), str(tmp_path / "again"), shard_slots=16)
+    assert sorted(map(tuple, spark.read.parquet(str(tmp_path / "again")).collect()), key=repr) == sorted(map(tuple, out), key=repr)
