@@ -10,7 +10,8 @@ are dealt to parts of about as many, each part with a copy of the heads.  Inside
 signatures are compared in numpy and a document is tied to the ``TIES`` likeliest earlier
 ones among the heads, if their estimate is over ``ESTIMATE``: rows are one per member and
 tie, never all pairs.  Ties are then checked on whole shingle sets; where two documents are
-similar the later one goes.
+similar the later one goes.  A document that stays is tied to its next likely heads, four
+times as many in all, and so on until none is left over ``ESTIMATE``.
 
 A group within ``HEADS`` documents is done after that, since all its pairs were compared.  In
 a larger one what is similar to a head has gone, which is nearly all of a large family of
@@ -100,8 +101,13 @@ def _keyed(rows: DataFrame) -> DataFrame:
     return rows.withColumn("k", F.explode(F.expr(keys))).select("k.g", "k.band", "doc", "signature")
 
 
-def _compared(parts: DataFrame) -> DataFrame:
-    """``a, b``: documents of a part tied to earlier heads that are likely to be similar."""
+def _compared(parts: DataFrame, start: int = 0, end: int | None = None) -> DataFrame:
+    """``a, b, more``: documents of a part tied to earlier heads that are likely to be similar.
+
+    Of a document's likely heads those at the places from ``start`` to ``end`` by likeness;
+    ``more``: there are others after them.
+    """
+    end = TIES if end is None else end
 
     def ties(batches):
         for batch in batches:
@@ -112,36 +118,49 @@ def _compared(parts: DataFrame) -> DataFrame:
                 if not signs:
                     continue
                 base = np.stack(signs)
-                for at, x in [*enumerate(heads if part["first"] else []), *((len(heads), x) for x in rest)]:
+                place = {tuple(x["doc"].values()): i for i, x in enumerate(heads)}
+                for x in [*(heads if part["first"] else []), *rest]:
+                    at = place.get(tuple(x["doc"].values()), len(heads))
                     if not at:
                         continue
                     same = (base[:at] == np.frombuffer(x["signature"], "<u2")).mean(axis=1)
-                    order = np.argsort(-same, kind="stable")[:TIES]
-                    found += [(heads[i]["doc"], x["doc"]) for i in order if same[i] >= ESTIMATE]
+                    likely = [i for i in np.argsort(-same, kind="stable") if same[i] >= ESTIMATE]
+                    found += [(heads[i]["doc"], x["doc"], len(likely) > end) for i in likely[start:end]]
             doc = pa.struct([("none", pa.bool_()), ("key", pa.int64()), ("row", pa.int64())])
-            yield pa.RecordBatch.from_arrays([pa.array([f[i] for f in found], doc) for i in (0, 1)], ["a", "b"])
+            columns = [pa.array([f[i] for f in found], t) for i, t in enumerate((doc, doc, pa.bool_()))]
+            yield pa.RecordBatch.from_arrays(columns, ["a", "b", "more"])
 
     kind = f"struct<{_DOC.replace(' ', ':').replace(',:', ',')}>"
-    return parts.mapInArrow(ties, f"a {kind}, b {kind}")
+    return parts.mapInArrow(ties, f"a {kind}, b {kind}, more boolean")
+
+
+def _parted(members: DataFrame, headed: DataFrame, heads: int) -> DataFrame:
+    """Members (``g, n, doc, signature``) in parts of about as many as there are heads, each with a copy of its group's heads."""
+    parts = F.expr(f"n div {heads} + 1")
+    dealt = members.select(F.xxhash64("g", F.pmod(F.xxhash64("doc"), parts)).alias("p"), F.struct("doc", "signature").alias("member"))
+    dealt = dealt.groupBy("p").agg(F.collect_list("member").alias("rest"))
+    copies = headed.select(
+        F.explode(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda i: F.xxhash64("g", i))).alias("p"), "heads"
+    )
+    return dealt.join(copies, "p").select("heads", "rest", F.lit(False).alias("first"))
 
 
-def _ties(groups: DataFrame, heads: int, folder: str) -> tuple[DataFrame, DataFrame]:
-    """The ties of all groups; the members of larger groups that are no heads, with ``g, band``. ``groups``: ``g, band, n, doc, signature``."""
+def _ties(groups: DataFrame, heads: int, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """The ties of all groups; the members of larger groups that are no heads, with ``g, band``; the heads. ``groups``: ``g, band, n, doc, signature``."""
     member = F.struct("doc", "signature").alias("member")
     first = Window.partitionBy("g").orderBy("doc")
     headed = groups.withColumn("at", F.row_number().over(first)).filter(F.col("at") <= heads)
     headed = stored(headed.groupBy("g").agg(F.max("n").alias("n"), F.sort_array(F.collect_list(member)).alias("heads")), f"{folder}/heads")
     ends = headed.filter(F.col("n") > heads).select("g", F.col("heads")[heads - 1]["doc"].alias("end"))
     rest = stored(groups.filter(F.col("n") > heads).join(ends, "g").filter("doc > end").select("g", "band", "n", "doc", "signature"), f"{folder}/rest")
-    parts = F.expr(f"n div {heads} + 1")
-    dealt = rest.select(F.xxhash64("g", F.pmod(F.xxhash64("doc"), parts)).alias("p"), member)
-    dealt = dealt.groupBy("p").agg(F.collect_list("member").alias("rest"))
-    copies = headed.filter(F.col("n") > heads).select(
-        F.explode(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda i: F.xxhash64("g", i))).alias("p"), "heads"
-    )
-    parted = dealt.join(copies, "p").select("heads", "rest", F.lit(False).alias("first"))
+    parted = _parted(rest, headed.filter(F.col("n") > heads), heads)
     own = headed.select("heads", F.lit(None).cast(parted.schema["rest"].dataType).alias("rest"), F.lit(True).alias("first"))
-    return _compared(own.union(parted)), rest.select("g", "band", "doc", "signature")
+    return _compared(own.union(parted)), rest.select("g", "band", "doc", "signature"), headed
+
+
+def _undecided(ties: DataFrame, found: DataFrame) -> DataFrame:
+    """``doc`` of documents with further likely heads that have not gone."""
+    return ties.filter("more").select(F.col("b").alias("doc")).distinct().join(found, "doc", "left_anti")
 
 
 def _similar(ties: DataFrame, rows: DataFrame, size: int, similarity: float, folder: str) -> DataFrame:
@@ -180,9 +199,17 @@ def copies(documents: DataFrame, text: str = "text", key: str = "doc_id", size:
         now = f"{folder}/{k}"
         sizes = each.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1")
         groups = stored(each.join(sizes, "g"), f"{now}/groups")
-        ties, rest = _ties(groups, heads, now)
+        ties, rest, headed = _ties(groups, heads, now)
         ties = stored(ties.distinct(), f"{now}/ties")
         found = stored(_similar(ties, rows, size, similarity, now), f"{left_to}/{k}")
+        # Where the likeliest heads were not similar, the next ones are asked, up to the last.
+        start, asked = TIES, stored(_undecided(ties, found), f"{now}/asked")
+        while not asked.isEmpty():
+            end, step = 4 * start, f"{now}/from-{start}"
+            members = groups.join(asked, "doc").select("g", "n", "doc", "signature")
+            ties = stored(_compared(_parted(members, headed, heads), start, end).distinct(), f"{step}/ties")
+            found = found.union(stored(_similar(ties, rows, size, similarity, step), f"{left_to}/{k}-{start}"))
+            start, asked = end, stored(_undecided(ties, found), f"{step}/asked")
         gone = found if gone is None else gone.union(found)
         left = stored(rest.join(found, "doc", "left_anti"), f"{folder}/left-{k}")
         remove(spark, now, f"{folder}/left-{k - 1}" if k else f"{folder}/signatures")

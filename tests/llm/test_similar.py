@@ -53,3 +53,21 @@ def test_rows_without_words_nulls_and_repeats(spark):
     assert left.columns == docs.columns
     assert sorted((r.doc_id for r in left.collect())) == [1, 3, 4, 5, 7]
     assert similar.without_copies(docs.limit(0)).collect() == []
+
+
+def test_a_similar_document_behind_likelier_ones_is_found(spark):
+    """Forty documents look nearer than the one similar document; only their shingles tell."""
+    def text(seed, run):
+        words = [f"w{i}" for i in range(204)]
+        words[100 : 100 + run] = [f"s{seed}x{i}" for i in range(run)]
+        return " ".join(words)
+
+    signs = lambda t: list(similar.signature(similar.shingles(t.encode())))
+    own = signs(text(0, 0))
+    near = lambda t: sum(a == b and c == d for a, b, c, d in zip(own[::2], signs(t)[::2], own[1::2], signs(t)[1::2])) / 100
+    decoys = sorted((text(i, 20) for i in range(200)), key=near)[-40:]
+    match = min((t for t in (text(i, 18) for i in range(200, 400)) if near(t) >= 0.72), key=near)
+    assert jaccard(plain(text(0, 0)), plain(match)) >= 0.8 and near(match) < min(map(near, decoys))
+    texts = [*decoys, match, text(0, 0)]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    assert {r.doc_id for r in similar.without_copies(docs).collect()} == set(range(41))
