@@ -10,6 +10,10 @@ from tableworks.functions import text as tx
 from tableworks.operators.ordering import row_index
 
 
+#: Text of the documents that are placed together.
+PLACE_BYTES = 4 * 2**20
+
+
 def document_lines(df: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
     """``doc_id, line_no, line``: every line of every document."""
     return df.select(doc_id, F.posexplode(tx.lines(text)).alias("line_no", "line"))
@@ -54,9 +58,13 @@ def bag_of_words(
 
     Stop words are left out of the single words only. Documents are placed by id
     before they are taken apart, so the wide exchange moves the texts once and
-    the much larger list of features never moves; the result stays placed by id.
+    the much larger list of features never moves; the result stays placed by id. The places
+    follow from the size of the texts: joined to larger ones, as small exchanges are, they
+    would hold more features than fit into memory.
     """
-    tokens = df.repartition(doc_id).select(doc_id, tx.word_runs(text).alias("tokens"))
+    size = df.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    places = max(df.sparkSession.sparkContext.defaultParallelism, -(-size // PLACE_BYTES))
+    tokens = df.repartition(places, doc_id).select(doc_id, tx.word_runs(text).alias("tokens"))
     features = _feature_rows(tokens, "tokens", orders, stop, [doc_id])
     bag = features.groupBy(doc_id, "feature").agg(F.count("*").alias("n"))
     order = F.size("feature")
