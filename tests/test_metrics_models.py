@@ -4,6 +4,7 @@ import random
 import numpy as np
 import pytest
 from pyspark.ml.evaluation import BinaryClassificationEvaluator, RegressionEvaluator
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from tableworks.operators import (
@@ -166,6 +167,23 @@ def test_claims(spark):
     assert len(model.coefficients) == 2 and r2 > 0.5
 
 
+def test_over_sampling_by_weight_keeps_nothing(spark, monkeypatch):
+    """Copies as weights give the fit of written copies, and no version of the rows is held."""
+    rows = [(i, float(i % 9 == 0) * (i % 70 + 1), "2007" if i % 4 == 0 else "2005", i % 70 + (i * 37 % 11) / 11) for i in range(600)]
+    rows += rows[:30]
+    df = spark.createDataFrame(rows, "id int, label double, year string, x double")
+    vectors = VectorAssembler(inputCols=["x"], outputCol="pcaFeatures").transform(df)
+    written_out = mo.compare_samplings(mo.sampling_versions(vectors, "id")).collect()
+    versions = mo.sampling_versions(vectors, "id", copies="copies")
+    assert versions["over"][0].agg(F.sum("copies")).first()[0] == written_out[3].train_rows > versions["over"][0].count()
+    kept = []
+    monkeypatch.setattr(type(df), "persist", lambda self, *a: kept.append(self) or self)
+    weighted = mo.compare_samplings(versions, copies="copies").collect()
+    assert not kept
+    for a, b in zip(weighted, written_out, strict=True):
+        assert a[:3] == b[:3] and a[3:] == pytest.approx(b[3:])
+
+
 def test_spark_sampling_methods(spark):
     df = spark.range(200).withColumn("label", (F.col("id") % 4 == 0).cast("double"))
     assert sp.kfold(df, "id", 4, 1, method="spark").count() == 200
