@@ -63,6 +63,19 @@ def stored(df: DataFrame, path: str, **options: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+#: Rows of a table that a join may send to every executor.
+SENT = 2**17
+
+
+def looked_up(rows: DataFrame, few: DataFrame, on, how: str = "inner") -> DataFrame:
+    """``rows`` joined to ``few``, a table that is cheap to count; it is sent whole up to ``SENT`` rows and else sorted.
+
+    The planner knows a table by its compressed files and takes an explode for no larger than
+    what it is made of; left to itself, it sends either side, however many rows it has.
+    """
+    return rows.join(F.broadcast(few) if few.count() <= SENT else few.hint("merge"), on, how)
+
+
 #: Rows are known by key and hash; this many slots of hashes are broadcast, whatever the data.
 SLOTS = 2**18
 
@@ -88,4 +101,4 @@ def without_rows(documents: DataFrame, gone: DataFrame, each: DataFrame, key: st
     kept = own.join(slots, "slot", "left_anti").select("own.*")
     maybe = own.join(slots, "slot", "left_semi").drop("slot")
     same = maybe["key"].eqNullSafe(gone["key"]) & (maybe["row"] == gone["row"])
-    return kept.union(maybe.join(gone, same, "left_anti").dropDuplicates(["key", "row"]).select("own.*"))
+    return kept.union(looked_up(maybe, gone, same, "left_anti").dropDuplicates(["key", "row"]).select("own.*"))

@@ -27,7 +27,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, functions as F
 
-from tableworks.llm.common import new_folder, row_of, stored, tidied, without_rows
+from tableworks.llm.common import looked_up, new_folder, row_of, stored, tidied, without_rows
 from tableworks.llm.components import components
 
 SHINGLE = 3
@@ -126,9 +126,9 @@ def links(fps: DataFrame, group: int = GROUP) -> DataFrame:
             "fp", F.expr(f"cast({free} as int)").alias("free"),
             (F.col("v") if level == 0 else F.xxhash64("g", "v")).alias("g"),
         )
-        sizes = keyed.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1")
+        sizes = stored(keyed.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1"), f"{folder}/sizes-{level}")
         # Few rows share a variant; they are read twice, here and by the next level.
-        grouped = stored(keyed.join(sizes, "g"), f"{folder}/{level}")
+        grouped = stored(looked_up(keyed, sizes, "g"), f"{folder}/{level}")
         last = level == len(_LEVELS) - 1
         here = _linked(grouped if last else grouped.filter(F.col("n") <= group))
         found = here if found is None else found.union(here)

@@ -4,6 +4,7 @@ import pytest
 import xxhash
 
 from tableworks.llm import simhash
+from tableworks.llm.common import new_folder, stored
 from tableworks.llm.components import components
 
 
@@ -79,3 +80,19 @@ def test_components_of_path_and_hub(spark):
     edges = [(i, i + 1) for i in range(40)] + [(100, i) for i in range(101, 160)] + [(7, 7), (500, 500), (1, 0)]
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
     assert got == {i: 0 for i in range(41)} | {i: 100 for i in range(100, 160)} | {500: 500}
+
+
+def test_groups_over_the_bound_are_not_broadcast(spark, monkeypatch):
+    """An exploded table is taken for as small as its file; joins to it go by counted rows."""
+    plans = []
+
+    def recorded(df, path, **options):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return stored(df, path, **options)
+
+    monkeypatch.setattr("tableworks.llm.common.SENT", 0, raising=False)
+    monkeypatch.setattr(simhash, "stored", recorded)
+    fps = spark.createDataFrame([(x ^ b,) for x in range(0, 2**20, 2**12) for b in (0, 1, 2)], "fp long")
+    found = simhash.links(stored(fps, new_folder(spark, "fps"))).collect()
+    assert found and any("SortMergeJoin" in p for p in plans)
+    assert not any("BroadcastExchange" in p for p in plans)
