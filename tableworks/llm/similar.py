@@ -33,7 +33,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, Window, functions as F
 
-from tableworks.llm.common import SLOTS, new_folder, remove, row_of, stored, without_rows
+from tableworks.llm.common import SLOTS, looked_up, new_folder, remove, row_of, stored, without_rows
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -142,7 +142,8 @@ def _parted(members: DataFrame, headed: DataFrame, heads: int) -> DataFrame:
     copies = headed.select(
         F.explode(F.transform(F.sequence(F.lit(0).cast("long"), parts - 1), lambda i: F.xxhash64("g", i))).alias("p"), "heads"
     )
-    return dealt.join(copies, "p").select("heads", "rest", F.lit(False).alias("first"))
+    # Copies are as many as parts, whatever the file of heads says: never broadcast them.
+    return dealt.join(copies.hint("merge"), "p").select("heads", "rest", F.lit(False).alias("first"))
 
 
 def _ties(groups: DataFrame, heads: int, folder: str) -> tuple[DataFrame, DataFrame, DataFrame]:
@@ -165,13 +166,13 @@ def _undecided(ties: DataFrame, found: DataFrame) -> DataFrame:
 
 def _similar(ties: DataFrame, rows: DataFrame, size: int, similarity: float, folder: str) -> DataFrame:
     """``doc`` of the ties' later documents whose shingle sets are similar enough."""
-    asked = ties.select(F.explode(F.array("a.row", "b.row")).alias("row")).distinct()
+    asked = stored(ties.select(F.explode(F.array("a.row", "b.row")).alias("row")).distinct(), f"{folder}/tied")
     # Shingles of tied documents only; 32 bits tell apart what is in two sets.
     slots = F.broadcast(asked.select(F.pmod("row", F.lit(SLOTS)).alias("slot")).distinct())
     texts = rows.withColumn("row", F.col("doc.row")).join(slots, F.pmod("row", F.lit(SLOTS)) == F.col("slot"), "left_semi")
-    texts = texts.join(asked, "row", "left_semi").select("doc", "text")
+    texts = looked_up(texts, asked, "row", "left_semi").select("doc", "text")
     short = lambda raw: np.unique(shingles(raw, size).astype(np.uint32).view(np.int32))
-    sets = stored(_made(texts, "shingles", "array<int>", pa.list_(pa.int32()), short), f"{folder}/sets").dropDuplicates(["doc"])
+    sets = stored(_made(texts, "shingles", "array<int>", pa.list_(pa.int32()), short), f"{folder}/sets").dropDuplicates(["doc"]).hint("merge")
     pairs = ties.join(sets.withColumnRenamed("doc", "b"), "b")
     pairs = pairs.join(sets.select(F.col("doc").alias("a"), F.col("shingles").alias("others")), "a")
     both = F.size(F.array_intersect("shingles", "others"))
@@ -192,13 +193,13 @@ def copies(documents: DataFrame, text: str = "text", key: str = "doc_id", size:
     signed = stored(signed.filter("length(signature) > 0"), f"{folder}/signatures").distinct()
     if without is not None:
         other = without.select(F.struct(F.col("key").isNull().alias("none"), "key", "row").alias("other"))
-        signed = signed.join(other, F.col("doc").eqNullSafe(F.col("other")), "left_anti")
+        signed = looked_up(signed, other, F.col("doc").eqNullSafe(F.col("other")), "left_anti")
     each = _keyed(signed.select(F.lit(0).cast("long").alias("g"), F.lit(-1).alias("band"), "doc", "signature"))
     gone, k = None, 0
     while True:
         now = f"{folder}/{k}"
-        sizes = each.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1")
-        groups = stored(each.join(sizes, "g"), f"{now}/groups")
+        sizes = stored(each.groupBy("g").agg(F.count("*").alias("n")).filter("n > 1"), f"{now}/sizes")
+        groups = stored(looked_up(each, sizes, "g"), f"{now}/groups")
         ties, rest, headed = _ties(groups, heads, now)
         ties = stored(ties.distinct(), f"{now}/ties")
         found = stored(_similar(ties, rows, size, similarity, now), f"{left_to}/{k}")
@@ -206,12 +207,12 @@ def copies(documents: DataFrame, text: str = "text", key: str = "doc_id", size:
         start, asked = TIES, stored(_undecided(ties, found), f"{now}/asked")
         while not asked.isEmpty():
             end, step = 4 * start, f"{now}/from-{start}"
-            members = groups.join(asked, "doc").select("g", "n", "doc", "signature")
+            members = looked_up(groups, asked, "doc").select("g", "n", "doc", "signature")
             ties = stored(_compared(_parted(members, headed, heads), start, end).distinct(), f"{step}/ties")
             found = found.union(stored(_similar(ties, rows, size, similarity, step), f"{left_to}/{k}-{start}"))
             start, asked = end, stored(_undecided(ties, found), f"{step}/asked")
         gone = found if gone is None else gone.union(found)
-        left = stored(rest.join(found, "doc", "left_anti"), f"{folder}/left-{k}")
+        left = stored(looked_up(rest, found, "doc", "left_anti"), f"{folder}/left-{k}")
         remove(spark, now, f"{folder}/left-{k - 1}" if k else f"{folder}/signatures")
         k += 1
         if left.isEmpty():

@@ -2,6 +2,7 @@ import random
 
 import corpus_pipeline
 from tableworks.llm import similar
+from tableworks.llm.common import stored
 
 
 def plain(text, size=5):
@@ -71,3 +72,22 @@ def test_a_similar_document_behind_likelier_ones_is_found(spark):
     texts = [*decoys, match, text(0, 0)]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
     assert {r.doc_id for r in similar.without_copies(docs).collect()} == set(range(41))
+
+
+def test_parts_and_groups_over_the_bound_are_not_broadcast(spark, monkeypatch):
+    """Only the slots, bounded numbers, are broadcast where counted rows are over the bound."""
+    plans = []
+
+    def recorded(df, path, **options):
+        plans.append((path.rsplit("/", 1)[-1], df._jdf.queryExecution().executedPlan().toString()))
+        return stored(df, path, **options)
+
+    monkeypatch.setattr("tableworks.llm.common.SENT", 0, raising=False)
+    monkeypatch.setattr(similar, "stored", recorded)
+    texts = corpus(4)
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    gone = {r.key for r in similar.copies(docs, heads=8).collect()}
+    sets = [plain(t) for t in texts]
+    assert gone and all(any(jaccard(sets[a], sets[b]) >= 0.8 for a in range(b)) for b in gone)
+    wide = [name for name, p in plans if name in ("groups", "ties", "tied") and "BroadcastExchange" in p]
+    assert not wide and any(name == "groups" for name, _ in plans)
