@@ -16,8 +16,9 @@ one bucket at a time, and buckets are small.
 4. *Suffix buckets.*  The rest is dealt out by its smallest 8-byte string (so
    neighbouring suffixes travel as one string); each bucket is sorted alone, equal
    passages become neighbours and get the smallest key they occur in.  Suffixes are
-   counted per smallest string first; where there are ``HOT`` or more (a frequent phrase
-   in ever new contexts) each suffix travels alone and is dealt out by a hash of its own
+   counted per smallest string first (the strings of each chunk are written then, so
+   they are found once); where there are ``HOT`` or more (a frequent phrase in ever new
+   contexts) each suffix travels alone and is dealt out by a hash of its own
    ``length`` bytes.  So what goes to a bucket together is less than ``HOT`` suffixes, or
    equal passages, one for each chunk.
 
@@ -122,11 +123,10 @@ class Chunk:
         bucket = ((keys >> np.uint64(40)) * np.uint64(buckets)) >> np.uint64(24)
         return places, group, keys, many, np.searchsorted(bucket, np.arange(buckets + 1))
 
-    def suffixes(self, length: int, buckets: int, bits: dict, hot: np.ndarray):
+    def suffixes(self, length: int, buckets: int, bits: dict):
         """Strings of neighbouring suffixes that may be repeated, with one ranked sample at least.
 
-        ``(start, suffixes, hash of the smallest 8 bytes, document)`` of each string; if
-        that hash is in ``hot`` (sorted), of each suffix, with a hash of all its bytes.
+        ``(start, suffixes, hash of the smallest 8 bytes)`` of each string.
         """
         places, group, keys, _, bounds = self.ranked(length, buckets)
         known = np.zeros(len(keys), bool)
@@ -144,8 +144,7 @@ class Chunk:
         may &= np.cumsum(tail[:-1]) == 0
         at = np.flatnonzero(may)
         if not len(at):
-            z = np.zeros(0, np.int64)
-            return z, z, np.zeros(0, np.uint64), z
+            return np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0, np.uint64)
         doc = np.searchsorted(self.ends, at, side="right")
         # Runs of neighbouring suffixes, laid out one after the other with their last bytes.
         new = np.ones(len(at), bool)
@@ -169,19 +168,10 @@ class Chunk:
         count = np.diff(np.append(first, len(at)))
         spread = low[first] * _ODD
         spread ^= spread >> np.uint64(29)
-        start, doc = at[first], doc[first]
-        alone = np.isin(spread, hot)
-        if alone.any():
-            many = np.where(alone, count, 1)
-            step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
-            start, doc, alone = np.repeat(start, many) + step, np.repeat(doc, many), np.repeat(alone, many)
-            count, spread = np.where(alone, 1, np.repeat(count, many)), np.repeat(spread, many)
-            spread[alone] = _hash(self.words, start[alone], length)
-        return start, count, spread, doc
+        return at[first], count, spread
 
-    def minima(self, length: int, buckets: int, bits: dict):
+    def minima(self, start: np.ndarray, count: np.ndarray, spread: np.ndarray, length: int):
         """Hashes of the smallest 8 bytes and the suffixes that distinct strings have of each."""
-        start, count, spread, _ = self.suffixes(length, buckets, bits, np.zeros(0, np.uint64))
         body, known = self.data.tobytes(), {}
         for i, (s, e) in enumerate(zip(start.tolist(), (start + count + length - 1).tolist(), strict=True)):
             known.setdefault(body[s:e], i)
@@ -191,9 +181,24 @@ class Chunk:
         np.add.at(total, group, count[one])
         return least, total
 
-    def strings(self, length: int, buckets: int, bits: dict, out: int, hot: np.ndarray):
-        """Distinct suffix strings and their smallest keys by bucket, and where each occurs."""
-        start, count, spread, doc = self.suffixes(length, buckets, bits, hot)
+    def dealt(self, start: np.ndarray, count: np.ndarray, spread: np.ndarray, length: int, hot: np.ndarray):
+        """``(start, suffixes, hash to deal by, document)`` of each string.
+
+        Strings whose smallest 8 bytes are in ``hot`` (sorted) become their suffixes, each with
+        a hash of all its bytes.
+        """
+        alone = np.isin(spread, hot)
+        if alone.any():
+            many = np.where(alone, count, 1)
+            step = np.arange(many.sum()) - np.repeat(np.cumsum(many) - many, many)
+            start, alone = np.repeat(start, many) + step, np.repeat(alone, many)
+            count, spread = np.where(alone, 1, np.repeat(count, many)), np.repeat(spread, many)
+            spread[alone] = _hash(self.words, start[alone], length)
+        return start, count, spread, np.searchsorted(self.ends, start, side="right")
+
+    def strings(self, found: tuple, length: int, out: int, hot: np.ndarray):
+        """Distinct suffix strings and their smallest keys by bucket, and where each occurs; ``found`` by ``suffixes``."""
+        start, count, spread, doc = self.dealt(*found, length, hot)
         body, known, number = self.data.tobytes(), {}, np.empty(len(start), np.int64)
         for i, (s, e) in enumerate(zip(start.tolist(), (start + count + length - 1).tolist(), strict=True)):
             number[i] = known.setdefault(body[s:e], len(known))
@@ -230,6 +235,13 @@ def _answers(root: str, chunk: int) -> dict:
     return dict(zip(table["bucket"].to_pylist(), table["bits"].to_pylist(), strict=True))
 
 
+def _found(root: str, chunk: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """What ``suffixes`` found in a chunk, as it was written."""
+    row = _fetch(root, chunk)
+    start, count = (np.frombuffer(row[c][0].as_buffer(), np.int32).astype(np.int64) for c in ("start", "count"))
+    return np.cumsum(start), count, np.frombuffer(row["spread"][0].as_buffer(), np.uint64)
+
+
 def _hot(root: str) -> np.ndarray:
     table = _fetch(root, None)
     found = table["minimum"].to_numpy() if table is not None else np.zeros(0, np.int64)
@@ -377,10 +389,11 @@ class Removal:
         return path
 
     def hot(self) -> str:
-        """Write the smallest strings that ``HOT`` suffixes or more may have.
+        """Write the strings of each chunk, and the smallest strings that ``HOT`` suffixes or more may have.
 
-        A chunk leaves out what it has less than ``least`` of; in all chunks together that
-        is less than half of ``HOT``, and the other half is the limit of what is counted.
+        Later passes read the strings of a chunk and need not find them again.  A chunk
+        leaves out what it has less than ``least`` of; in all chunks together that is less
+        than half of ``HOT``, and the other half is the limit of what is counted.
         """
         length, buckets, opened = self.length, self.buckets, self._chunk_of()
         ranks, least = f"{self.root}/ranks", max(1, HOT // 2 // max(1, self.n_chunks))
@@ -388,28 +401,38 @@ class Removal:
         def counted(batches):
             for batch in batches:
                 for number, _, c in opened(batch):
-                    minimum, n = c.minima(length, buckets, _answers(ranks, number))
+                    start, count, spread = c.suffixes(length, buckets, _answers(ranks, number))
+                    minimum, n = c.minima(start, count, spread, length)
                     some = n >= least
+                    one = lambda a: pa.ListArray.from_arrays([0, len(a)], pa.array(a, pa.int64()))
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array(minimum[some].view(np.int64)), pa.array(n[some], pa.int64())], ["minimum", "n"]
+                        [pa.array([number], pa.int64()), pa.array([np.diff(start, prepend=0).astype(np.int32).tobytes()], pa.binary()),
+                         pa.array([count.astype(np.int32).tobytes()], pa.binary()), pa.array([spread.tobytes()], pa.binary()),
+                         one(minimum[some].view(np.int64)), one(n[some])],
+                        ["chunk", "start", "count", "spread", "minimum", "n"],
                     )
 
-        sent = self.chunks.select("chunk", "rows").mapInArrow(counted, "minimum long, n long")
-        path = f"{self.root}/hot"
-        sums = sent.groupBy("minimum").agg(F.sum("n").alias("n"))
+        sent = self.chunks.select("chunk", "rows").mapInArrow(
+            counted, "chunk long, start binary, count binary, spread binary, minimum array<long>, n array<long>"
+        )
+        found, path = f"{self.root}/strings", f"{self.root}/hot"
+        sent.write.partitionBy("chunk").parquet(found, compression="zstd")
+        each = sent.sparkSession.read.schema("minimum array<long>, n array<long>").parquet(found)
+        each = each.select(F.explode(F.arrays_zip("minimum", "n")).alias("m")).select("m.*")
+        sums = each.groupBy("minimum").agg(F.sum("n").alias("n"))
         sums.filter(F.col("n") >= HOT // 2).select("minimum").write.parquet(path)
         return path
 
     def _sent(self) -> DataFrame:
         """The strings of each chunk by bucket."""
-        length, buckets, out_buckets, opened = self.length, self.buckets, self.out, self._chunk_of()
-        ranks, hot_path = f"{self.root}/ranks", f"{self.root}/hot"
+        length, out_buckets, opened = self.length, self.out, self._chunk_of()
+        found, hot_path = f"{self.root}/strings", f"{self.root}/hot"
 
         def out(batches):
             hot = _hot(hot_path)
             for batch in batches:
                 for number, _, c in opened(batch):
-                    _, _, _, _, strings, least, bucket = c.strings(length, buckets, _answers(ranks, number), out_buckets, hot)
+                    _, _, _, _, strings, least, bucket = c.strings(_found(found, number), length, out_buckets, hot)
                     order = np.argsort(bucket, kind="stable")
                     full, first = np.unique(bucket[order], return_index=True)
                     parts = np.split(order, first[1:]) if len(full) else []
@@ -463,8 +486,8 @@ class Removal:
 
     def result(self, keep_text: bool) -> DataFrame:
         """The documents with what was removed; with ``keep_text`` their text is what is left."""
-        length, buckets, out_buckets, opened = self.length, self.buckets, self.out, self._chunk_of()
-        ranks, repeats, text = f"{self.root}/ranks", f"{self.root}/repeats", self.text
+        length, out_buckets, opened = self.length, self.out, self._chunk_of()
+        found, repeats, text = f"{self.root}/strings", f"{self.root}/repeats", self.text
         hot_path = f"{self.root}/hot"
         extra = [("n_bytes", "long"), ("n_removed", "long"), ("n_spans", "long"), ("kept_sha256", "string")]
         fields = [f for f in self.schema.fields if keep_text or f.name != text]
@@ -475,9 +498,7 @@ class Removal:
             hot = _hot(hot_path)
             for batch in batches:
                 for number, rows, c in opened(batch):
-                    start, count, doc, no, strings, least, bucket = c.strings(
-                        length, buckets, _answers(ranks, number), out_buckets, hot
-                    )
+                    start, count, doc, no, strings, least, bucket = c.strings(_found(found, number), length, out_buckets, hot)
                     answers = _answers(repeats, number)
                     wins = np.array([len(s) - length + 1 for s in strings], np.int64)
                     # Bits come bucket by bucket, in the order in which strings were sent.
@@ -486,9 +507,10 @@ class Removal:
                     ends = np.cumsum(wins[order])
                     first[order] = ends - wins[order]
                     flags = np.zeros(int(wins.sum()), bool)
+                    ranges, dealt = ends - wins[order], bucket[order]
                     for b, packed in answers.items():
-                        mine = order[bucket[order] == b]
-                        lo, n = first[mine[0]], int(wins[mine].sum())
+                        i, j = np.searchsorted(dealt, b), np.searchsorted(dealt, b, side="right") - 1
+                        lo, n = ranges[i], int(ends[j] - ranges[i])
                         flags[lo : lo + n] = np.unpackbits(np.frombuffer(packed, np.uint8), count=n).astype(bool)
                     place = np.arange(count.sum()) + np.repeat(start - (np.cumsum(count) - count), count)
                     bit = flags[np.arange(count.sum()) + np.repeat(first[no] - (np.cumsum(count) - count), count)]

@@ -4,6 +4,7 @@ import random
 import pytest
 
 from tableworks.llm import suffix
+from tableworks.llm.common import remove
 
 SCHEMA = "doc_id long, text string, n_bytes string, chunk int"
 
@@ -104,3 +105,19 @@ def test_a_frequent_phrase_is_dealt_to_many_buckets(spark, monkeypatch):
     average = sum(loads.values()) / work.out
     assert max(loads.values()) < 2 * average + 100
     assert run(spark, rows) == brute(rows, 50)
+
+
+def test_strings_of_a_chunk_are_found_once(spark, monkeypatch):
+    """Sending and removing read the strings that the counting pass wrote; ranks are not asked again."""
+    monkeypatch.setattr(suffix, "HOT", 200)
+    texts = corpus(6, 40)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    work = suffix.Removal(df, "text", "doc_id", 50, 2000)
+    work.copies()
+    work.ranks()
+    work.hot()
+    remove(spark, f"{work.root}/ranks")
+    work.repeats()
+    got = [(r.doc_id, r.r_n_removed, r.r_kept_sha256) for r in work.result(False).collect()]
+    whole = [(r.doc_id, r.r_n_removed, r.r_kept_sha256) for r in suffix.remove_repeats(df, keep_text=False, chunk_bytes=2000).collect()]
+    assert sorted(got) == sorted(whole) and sum(n for _, n, _ in got) > 0
